@@ -34,6 +34,11 @@ def bucket_histogram(
     )
 
 
+def _each(qs: Sequence[float]):
+    """One row per quantile. Never in one select with a window: it would unfold first."""
+    return F.explode(F.array(*[F.lit(float(q)) for q in qs]))
+
+
 def histogram_quantile(buckets: DataFrame, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Quantiles by linear interpolation inside the bucket that reaches the rank.
 
@@ -53,8 +58,7 @@ def histogram_quantile(buckets: DataFrame, qs: Sequence[float], by: Sequence[str
         F.coalesce(F.lag("cumulative").over(along), F.lit(0)).alias("_below"),
         F.max("cumulative").over(whole).alias("_total"),
         F.max(F.when(~infinite, F.col("le"))).over(whole).alias("_top"),
-        F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"),
-    )
+    ).withColumn("q", _each(qs))
     rank = F.col("q") * F.col("_total")
     reached = F.col("cumulative") >= rank
     inside = F.col("_low") + (F.col("le") - F.col("_low")) * (
@@ -103,8 +107,7 @@ def exact_quantiles(
         F.col("_n"),
         (F.sum("_n").over(running) - F.col("_n")).alias("_before"),
         F.sum("_n").over(whole).alias("_total"),
-        F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"),
-    )
+    ).withColumn("q", _each(qs))
     place = F.col("q") * (F.col("_total") - 1)
     ends = F.array(
         F.struct(F.lit(0).alias("end"), F.floor(place).alias("rank")),
