@@ -15,7 +15,7 @@ from downfold.functions.quantiles import bucket_histogram, histogram_quantile
 from downfold.functions.scalar import ceil_ms, floor_ms, round_half_even
 from downfold.operators.decode import decode_cdc, reject_malformed
 from downfold.operators.metrics import compare, e2e_latency, ingest_lag
-from downfold.operators.state import down_delta, intervals_of, with_previous_state
+from downfold.operators.state import down_delta, intervals_of
 from downfold.schemas import RULES
 
 KEY = ["rule", "series"]
@@ -184,11 +184,11 @@ def recent_outage_series(intervals: DataFrame, step_ms: int = MINUTE) -> DataFra
     return _rows(fleet, high_single_outage="longest", outage_storm="count", node_flapping="per_node")
 
 
-def down_node_series(states: DataFrame, times: DataFrame, step_ms: int = MINUTE) -> DataFrame:
+def down_node_series(changes: DataFrame, times: DataFrame, step_ms: int = MINUTE) -> DataFrame:
     """The down-node gauge at every evaluation time."""
     at = ceil_ms(F.col("event_time"), step_ms)
-    changes = states.groupBy(at.alias("time_ms")).agg(F.sum(down_delta()).cast("long").alias("change"))
-    filled = changes.unionByName(times.select("time_ms", F.lit(0).cast("long").alias("change")))
+    summed = changes.groupBy(at.alias("time_ms")).agg(F.sum(down_delta()).cast("long").alias("change"))
+    filled = summed.unionByName(times.select("time_ms", F.lit(0).cast("long").alias("change")))
     steps = filled.groupBy("time_ms").agg(F.sum("change").alias("change"))
     gauge = running_sum_in_key(steps, [], "time_ms", "change", "down", DAY_MS)
     return _rows(gauge, many_nodes_down="down", mass_outage="down")
@@ -256,21 +256,18 @@ def commit_latency_series(commits: DataFrame, step_ms: int = MINUTE, q: float =
 
 
 def rule_series(
+    changes: DataFrame,
+    commits: DataFrame,
     alarms: DataFrame,
     messages: DataFrame,
-    commits_of,
     span: DataFrame,
     step_ms: int = MINUTE,
-    **state_options,
 ) -> DataFrame:
-    """The series of all rules. ``commits_of`` maps intervals to their commit records."""
+    """The series of all rules, from ``state_changes``, interval commits, alarms and messages."""
     times = evaluation_times(span, step_ms)
-    states = with_previous_state(alarms, **state_options)
-    intervals = intervals_of(states)
-    commits = commits_of(intervals)
     parts = [
-        recent_outage_series(intervals, step_ms),
-        down_node_series(states, times, step_ms),
+        recent_outage_series(intervals_of(changes), step_ms),
+        down_node_series(changes, times, step_ms),
         error_rate_series(messages, step_ms),
         lag_series(alarms, times, step_ms),
         stale_sink_series(commits, times, step_ms=step_ms),
@@ -283,7 +280,10 @@ def rule_series(
 
 
 def evaluate_rules(rules: DataFrame, series: DataFrame, span: DataFrame, step_ms: int = MINUTE) -> DataFrame:
-    """One row per (rule, series, evaluation time) with value, state and rendered text."""
+    """One row per (rule, series, evaluation time) with value, state and rendered text.
+
+    ``series`` is read twice, for its names and its values; pass a written table.
+    """
     grid = evaluation_grid(rules, series, span, step_ms)
     states = alert_state(evaluate_thresholds(no_data_state(grid, series)))
     return render_annotations(states).select(

@@ -124,6 +124,15 @@ def down_delta() -> Column:
     return F.when(F.col("down") & ~was_down, 1).when(~F.col("down") & was_down, -1).otherwise(0)
 
 
+def state_changes(states: DataFrame) -> DataFrame:
+    """Only the alarms that change the down-node gauge; every closed outage is among them.
+
+    Write this once where several questions about the same fold follow: ``intervals_of``
+    and ``down_series_of`` need nothing else.
+    """
+    return states.where(down_delta() != 0).select("node_id", "event_time", "down", "prev")
+
+
 def active_down_nodes(alarms: DataFrame, **options) -> DataFrame:
     """Final value of the down-node gauge, one row."""
     states = with_previous_state(alarms, **options)

@@ -6,7 +6,13 @@ from downfold.constants import BATCH_BOUNDS, LATENCY_BOUNDS, OUTAGE_BOUNDS
 from downfold.functions.quantiles import bucket_histogram, exact_quantiles, histogram_quantile
 from downfold.functions.scalar import hour_of_day
 from downfold.operators import alerts, decode, metrics
-from downfold.operators.state import active_down_series, node_flaps, with_previous_state
+from downfold.operators.state import (
+    active_down_series,
+    intervals_of,
+    node_flaps,
+    state_changes,
+    with_previous_state,
+)
 from downfold.plans.outage_queries import DELTA
 from downfold.plans.tables import (
     MESSAGES_SQL,
@@ -22,7 +28,7 @@ from downfold.plans.tables import (
     on,
     states_sql,
 )
-from downfold.session import pin_utc
+from downfold.session import pin_utc, written
 from downfold.sources import testtables
 
 QS = (0.5, 0.95, 0.99)
@@ -185,11 +191,11 @@ def _span(df: DataFrame) -> DataFrame:
 def _series(spark: SparkSession, sf_dir: str):
     pin_utc(spark)
     table = testtables.alarms(spark, sf_dir, "fast")
-    span = _span(table)
-    series = alerts.rule_series(
-        table, testtables.cdc_messages(spark, sf_dir, "fast"), testtables.interval_commits, span
-    )
-    return series, span
+    span = written(_span(table), "span")
+    changes = written(state_changes(with_previous_state(table)), "changes")
+    commits_df = testtables.interval_commits(intervals_of(changes))
+    wide = testtables.cdc_messages(spark, sf_dir, "fast")
+    return written(alerts.rule_series(changes, commits_df, table, wide, span), "series"), span
 
 
 def _evaluate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -27,3 +27,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="downfold-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a parquet table in the shared folder, for results that several plans reuse."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -27,7 +27,7 @@ def write_intervals(intervals: DataFrame, path: str, batch_id: int = 0) -> None:
 
 def read_intervals(spark: SparkSession, path: str, first_day=None, last_day=None) -> DataFrame:
     """Scan the table; day bounds prune partitions."""
-    df = spark.read.schema(NODE_INTERVALS).parquet(path)
+    df = spark.read.schema(NODE_INTERVALS).parquet(path).select(*NODE_INTERVALS.fieldNames())
     if first_day is not None:
         df = df.where(F.col("down_day") >= F.lit(first_day).cast("date"))
     if last_day is not None:
@@ -46,7 +46,7 @@ def write_daily_states(partials: DataFrame, path: str, batch_id: int = 0) -> Non
 
 
 def read_daily_states(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DAILY_PARTIALS).parquet(path)
+    return spark.read.schema(DAILY_PARTIALS).parquet(path).select(*DAILY_PARTIALS.fieldNames())
 
 
 def compact_daily_states(spark: SparkSession, path: str, target: str) -> None:

@@ -11,6 +11,7 @@ interval table, the daily partials and the node state.
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,6 @@ from downfold.schemas import NODE_INTERVALS
 from downfold.sources.intervals import write_daily_states, write_intervals
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 STATE_DDL = "down BOOLEAN, event_time BIGINT"
 # Workers get the processor's code itself, so they need not have this package installed.
@@ -96,33 +96,28 @@ def downtime_intervals_stream(
     )
 
 
-def use_rocksdb(spark: SparkSession) -> SparkSession:
-    """Keyed state with expiry needs this state store; set it before starting the query."""
-    spark.conf.set(PROVIDER, ROCKSDB)
-    return spark
+@contextmanager
+def stateful_settings(spark: SparkSession):
+    """Settings a query with keyed state and expiry takes when it starts, undone after.
 
-
-def start_interval_sink(
-    intervals: DataFrame,
-    path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-    daily_path: str | None = None,
-) -> StreamingQuery:
-    """Append a stream of intervals to the interval table, and its daily partials if asked.
-
-    Each micro-batch overwrites its own folder, so a replay after a failure does not double
-    rows. The partials are computed from the folder just written, not from the stream again.
+    Expired state is skipped when read, so batches without data are not needed for it. With
+    them a query that should end when all input is read never would.
     """
-
-    def commit(batch: DataFrame, batch_id: int) -> None:
-        write_intervals(batch, path, batch_id)
-        if daily_path is not None:
-            written = batch.sparkSession.read.schema(NODE_INTERVALS).parquet(f"{path}/batch_id={batch_id}")
-            write_daily_states(daily_node_partials(written), daily_path, batch_id)
-
-    writer = intervals.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def fold_batch(batch: DataFrame, state: DataFrame | None, ttl_ms: int | None, now_ms: int):
@@ -172,7 +167,8 @@ def start_interval_job(
         try:
             intervals, last = fold_batch(batch, state, ttl_ms, now_ms)
             write_intervals(intervals, f"{root}/intervals", batch_id)
-            last.write.mode("overwrite").parquet(f"{root}/state/slot={batch_id % 2}")
+            stamped = last.withColumn("batch", F.lit(batch_id).cast("long"))
+            stamped.write.mode("overwrite").parquet(f"{root}/state/slot={batch_id % 2}")
         finally:
             batch.unpersist()
         written = spark.read.schema(NODE_INTERVALS).parquet(f"{root}/intervals/batch_id={batch_id}")
@@ -180,3 +176,15 @@ def start_interval_job(
 
     writer = slim.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
+
+
+def read_node_state(spark: SparkSession, root: str) -> DataFrame:
+    """The newest node state a job wrote, as ``latest_node_state`` gives it."""
+    state = spark.read.parquet(f"{root}/state")
+    newest = state.agg(F.max("batch")).scalar()
+    return state.where(F.col("batch") == newest).select(
+        "node_id",
+        F.when(F.col("down"), "DOWN").otherwise("UP").alias("status"),
+        F.timestamp_millis("event_time").alias("last_seen_at"),
+        F.col("ord").alias("id"),
+    )
