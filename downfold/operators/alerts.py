@@ -102,7 +102,8 @@ def no_data_state(grid: DataFrame, series: DataFrame) -> DataFrame:
 
 def render_annotations(states: DataFrame) -> DataFrame:
     """Put the value into the summary and collect severity and team as labels."""
-    shown = F.coalesce(F.format_string("%.3f", round_half_even(F.col("value"), 3)), F.lit("no data"))
+    number = F.format_string("%.3f", round_half_even(F.col("value"), 3))
+    shown = F.when(F.col("value").isNotNull(), number).otherwise("no data")
     labels = F.create_map(F.lit("severity"), F.col("severity"), F.lit("team"), F.col("team"))
     return states.withColumns(
         {"summary": F.replace(F.col("summary"), F.lit("{{ $value }}"), shown), "labels": labels}
