@@ -37,26 +37,33 @@ def lag_in_key(
     ``span=None`` the plain window is used, for inputs whose keys are known to be small.
     """
     keys, order = list(keys), list(order)
-    packed = F.struct(*payload)
+
+    def shifted(along, prefix: str) -> dict[str, Column]:
+        # Column by column: a lag over a struct would shuffle the struct beside its parts.
+        lagged = {f"{prefix}{name}": F.lag(name).over(along) for name in payload}
+        return {**lagged, f"{prefix}any": F.lag(F.lit(True)).over(along)}
+
+    def packed(prefix: str) -> Column:
+        return F.when(F.col(f"{prefix}any"), F.struct(*[F.col(f"{prefix}{name}").alias(name) for name in payload]))
+
     if span is None:
-        return df.withColumn(into, F.lag(packed).over(Window.partitionBy(*keys).orderBy(*order)))
+        plain = df.withColumns(shifted(Window.partitionBy(*keys).orderBy(*order), "_lag_"))
+        return plain.withColumn(into, packed("_lag_")).select(*df.columns, into)
 
     sliced = df.withColumn(SLICE, slice_column(order[0], span))
-    within = Window.partitionBy(*keys, SLICE).orderBy(*order)
     # Plain long/boolean buffers keep this a hash aggregate; a struct ordering
     # (several order columns) falls back to a sort aggregate, still pre-aggregated.
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    last_of_slice = sliced.groupBy(*keys, SLICE).agg(
-        *[F.max_by(name, position).alias(name) for name in payload], F.lit(True).alias("_any")
+    last_of_slice = sliced.groupBy(*keys, SLICE).agg(*[F.max_by(name, position).alias(name) for name in payload])
+    carry = (
+        last_of_slice.withColumns(shifted(Window.partitionBy(*keys).orderBy(SLICE), "_carry_"))
+        .where("_carry_any")
+        .select(*keys, SLICE, packed("_carry_").alias("_carry"))
     )
-    along = Window.partitionBy(*keys).orderBy(SLICE)
-    carry = last_of_slice.select(
-        *keys, SLICE, F.lag(packed).over(along).alias("_carry"), F.lag("_any").over(along).alias("_has")
-    ).where("_has").drop("_has")
     return (
-        sliced.withColumn(into, F.lag(packed).over(within))
+        sliced.withColumns(shifted(Window.partitionBy(*keys, SLICE).orderBy(*order), "_lag_"))
         .join(carry, [*keys, SLICE], "left")
-        .withColumn(into, F.coalesce(into, "_carry"))
+        .withColumn(into, F.coalesce(packed("_lag_"), F.col("_carry")))
         .select(*df.columns, into)
     )
 
@@ -83,21 +90,25 @@ def running_sum_in_key(
     value: str,
     into: str,
     span: int,
+    next_into: str | None = None,
 ) -> DataFrame:
-    """Add ``into``: the sum of ``value`` over this and all earlier rows of the key."""
-    return _running(
-        df, keys, order, value, into, span, F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-    )
+    """Add ``into``: the sum of ``value`` over this and all earlier rows of the key.
 
+    With ``next_into`` also the order value of the key's next row within the same slice,
+    null for the slice's last row.
+    """
 
-def _running(df, keys, order, value, into, span, total, combine):
+    def combine(a, b):
+        return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
+
+    return _running(df, keys, order, value, into, span, F.sum, combine, next_into)
+
+
+def _running(df, keys, order, value, into, span, total, combine, next_into=None):
     keys = list(keys)
     sliced = df.withColumn(SLICE, slice_column(order, span))
-    within = (
-        Window.partitionBy(*keys, SLICE)
-        .orderBy(order)
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    along = Window.partitionBy(*keys, SLICE).orderBy(order)
+    so_far = along.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         sliced.groupBy(*keys, SLICE)
@@ -105,9 +116,12 @@ def _running(df, keys, order, value, into, span, total, combine):
         .select(*keys, SLICE, total("_total").over(earlier).alias("_carry"))
         .where(F.col("_carry").isNotNull())
     )
+    added = {into: total(value).over(so_far)}
+    if next_into is not None:
+        added[next_into] = F.lead(order).over(along)
     return (
-        sliced.withColumn(into, total(value).over(within))
+        sliced.withColumns(added)
         .join(carry, [*keys, SLICE], "left")
         .withColumn(into, combine(F.col(into), F.col("_carry")))
-        .select(*df.columns, into)
+        .select(*df.columns, *added)
     )

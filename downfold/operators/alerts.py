@@ -158,31 +158,62 @@ def recent_outage_series(intervals: DataFrame, step_ms: int = MINUTE) -> DataFra
     """Longest outage and count over 5 minutes, and most outages of one node over an hour.
 
     An outage counts at time t once it has ended (up_at <= t) and while its start lies in
-    the lookback (down_at >= t - lookback). Outages are merged per node and pair of steps
-    before they are repeated for the times they count at.
+    the lookback (down_at >= t - lookback).
     """
     ended = ceil_ms(F.unix_millis("up_at"), step_ms)
     began = floor_ms(F.unix_millis("down_at"), step_ms)
+    steps = intervals.select("node_id", "duration_ms", ended.alias("_from"), began.alias("_began"))
+    return _fleet_over_5m(steps, step_ms).unionByName(_busiest_node_over_1h(steps, step_ms))
+
+
+def _fleet_over_5m(steps: DataFrame, step_ms: int) -> DataFrame:
+    """Outages are merged per pair of steps before they are repeated for their times."""
     merged = (
-        intervals.groupBy("node_id", ended.alias("_from"), began.alias("_began"))
+        steps.where(F.col("_from") <= F.col("_began") + RECENT)
+        .groupBy("_from", "_began")
         .agg(F.count(F.lit(1)).alias("_n"), F.max("duration_ms").alias("_ms"))
-        .where(F.col("_from") <= F.col("_began") + HOUR)
     )
-    times = F.sequence(F.col("_from"), F.col("_began") + HOUR, F.lit(step_ms))
-    recent = F.col("time_ms") <= F.col("_began") + RECENT
+    times = F.explode(F.sequence(F.col("_from"), F.col("_began") + RECENT, F.lit(step_ms)))
+    fleet = (
+        merged.withColumn("time_ms", times)
+        .groupBy("time_ms")
+        .agg((F.max("_ms") / 1000.0).alias("longest"), F.sum("_n").alias("count"))
+    )
+    return _rows(fleet, high_single_outage="longest", outage_storm="count")
+
+
+def _busiest_node_over_1h(steps: DataFrame, step_ms: int) -> DataFrame:
+    """The highest per-node count at each time, from the times at which counts change.
+
+    Each outage adds one when it ends and takes one away when its start leaves the hour.
+    The running sum gives every node's count as stretches of equal value; only those are
+    unfolded to times, and the maximum over nodes is merged before any shuffle. A change of
+    0 at the start of a day closes the stretch of the day before; no count outlives the
+    first hour of a day without a change in that day.
+    """
+    gone = F.col("_began") + HOUR + step_ms
+    changes = F.array(
+        F.struct(F.col("_from").alias("time_ms"), F.lit(1).alias("change")),
+        F.struct(gone.alias("time_ms"), F.lit(-1).alias("change")),
+        F.struct(floor_ms(F.col("_from"), DAY_MS).alias("time_ms"), F.lit(0).alias("change")),
+        F.struct(floor_ms(gone, DAY_MS).alias("time_ms"), F.lit(0).alias("change")),
+    )
     per_node = (
-        merged.withColumn("time_ms", F.explode(times))
-        .groupBy("node_id", "time_ms")
-        .agg(
-            F.sum("_n").alias("_hour"),
-            F.sum(F.when(recent, F.col("_n"))).alias("_n5"),
-            F.max(F.when(recent, F.col("_ms"))).alias("_ms5"),
-        )
+        steps.where(F.col("_from") <= F.col("_began") + HOUR)
+        .select("node_id", F.explode(changes).alias("_c"))
+        .groupBy("node_id", F.col("_c.time_ms").alias("time_ms"))
+        .agg(F.sum("_c.change").alias("change"))
     )
-    fleet = per_node.groupBy("time_ms").agg(
-        (F.max("_ms5") / 1000.0).alias("longest"), F.sum("_n5").alias("count"), F.max("_hour").alias("per_node")
+    counts = running_sum_in_key(per_node, ["node_id"], "time_ms", "change", "_n", DAY_MS, "_next")
+    until = F.coalesce(F.col("_next"), floor_ms(F.col("time_ms"), DAY_MS) + DAY_MS) - 1
+    stretch = F.explode(F.sequence(ceil_ms(F.col("time_ms"), step_ms), until, F.lit(step_ms)))
+    busiest = (
+        counts.where((F.col("_n") > 0) & (ceil_ms(F.col("time_ms"), step_ms) <= until))
+        .select(stretch.alias("time_ms"), "_n")
+        .groupBy("time_ms")
+        .agg(F.max("_n").alias("per_node"))
     )
-    return _rows(fleet, high_single_outage="longest", outage_storm="count", node_flapping="per_node")
+    return _rows(busiest, node_flapping="per_node")
 
 
 def down_node_series(changes: DataFrame, times: DataFrame, step_ms: int = MINUTE) -> DataFrame:

@@ -18,7 +18,10 @@ def decode_cdc(messages: DataFrame) -> DataFrame:
     do not look like plain names are checked against the type the text really has.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = messages.withColumn("_doc", F.from_json("value", CDC_VALUE, options))
+    # Unfolding a one-element array keeps later filters from being pushed below the parse,
+    # where they would parse every message a second time.
+    document = F.array(F.from_json("value", CDC_VALUE, options))
+    parsed = messages.withColumn("_doc", F.explode(document))
     after = F.col("_doc.payload.after")
     node = after["node_id"]
     raw_type = F.schema_of_variant(

@@ -67,17 +67,19 @@ def test_grid_days(spark):
     assert times == list(range(MIN, 3 * 86_400_000 + 120_001, MIN))
 
 
-def test_recent_outages_on_the_grid_equal_brute_force(spark):
+@pytest.mark.parametrize("offset", [0, 84_000])
+def test_recent_outages_on_the_grid_equal_brute_force(spark, offset):
+    """The second offset puts midnight amid the outages."""
     rng = random.Random(1)
     rows = []
     for _ in range(150):
-        start = rng.randrange(0, 7200) + rng.choice([0, 0.5])
+        start = offset + rng.randrange(0, 7200) + rng.choice([0, 0.5])
         rows.append((rng.choice("abc"), start, start + rng.choice([3, 40.5, 250, 400, 4000])))
     df = intervals(spark, rows)
     got = {}
     for r in alerts.recent_outage_series(df).collect():
         got[(r.rule, r.time_ms // 1000)] = r.value
-    for t in range(0, 12_000, 60):
+    for t in range(offset, offset + 12_000, 60):
         recent = [u - d for n, d, u in rows if u <= t and d >= t - 300]
         per_node = {}
         for n, d, u in rows:
