@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from downfold.constants import DAY_MS, DOWN_TRAPS, FLAP_MS, SHARDS
 from downfold.functions.ordered import lag_in_key, running_sum_in_key
-from downfold.functions.scalar import ceil_ms, is_down, shard_of, utc_day
+from downfold.functions.scalar import ceil_ms, is_down, shard_of, state_key, utc_day
 
 # Slice spans. Arrival ids are unique, so 4 Mi ids bound a window group to 4 Mi rows.
 ID_SPAN = 1 << 22
@@ -88,6 +88,15 @@ def latest_node_state(alarms: DataFrame, down_traps=DOWN_TRAPS) -> DataFrame:
     )
 
 
+def state_documents(states: DataFrame) -> DataFrame:
+    """Node states as key-value pairs: ``node:<id>`` and a JSON document."""
+    # Fractions of a second without trailing zeros, as RFC 3339 prints them.
+    at = F.date_format("last_seen_at", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    at = F.concat(F.regexp_replace(at, r"\.?0+$", ""), F.lit("Z"))
+    document = F.to_json(F.struct("status", at.alias("last_seen_at")))
+    return states.select(state_key(F.col("node_id")).alias("key"), document.alias("value"))
+
+
 def transition_of() -> tuple[Column, Column, Column]:
     """(is counted, from, to) of an alarm that carries its previous state."""
     goes_down = F.col("down") & ~F.coalesce(F.col("prev.down"), F.lit(False))

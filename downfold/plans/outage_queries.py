@@ -226,6 +226,16 @@ WHERE down_ms BETWEEN epoch_ms(TIMESTAMP '{FIRST}') AND epoch_ms(TIMESTAMP '{LAS
         state.latest_node_state,
         f"""WITH {alarms_sql()} SELECT node_id, CASE WHEN arg_max(trap_id, id) IN (1417, 1535) THEN 'DOWN' ELSE 'UP' END AS status,
   arg_max(event_time, id) AS last_seen_at_ms, max(id) AS id FROM alarms GROUP BY node_id""",
+    ),
+    "state_documents": on(
+        alarms(),
+        lambda df: state.state_documents(state.latest_node_state(df)),
+        f"""WITH {alarms_sql()}, latest AS (SELECT node_id, arg_max(trap_id, id) AS trap, arg_max(event_time, id) AS ms
+  FROM alarms GROUP BY 1)
+SELECT 'node:' || node_id AS key, '{{"status":"' || CASE WHEN trap IN (1417, 1535) THEN 'DOWN' ELSE 'UP' END
+  || '","last_seen_at":"' || strftime(make_timestamp(ms * 1000), '%Y-%m-%dT%H:%M:%S')
+  || CASE WHEN ms % 1000 = 0 THEN '' ELSE '.' || rtrim(lpad((ms % 1000)::VARCHAR, 3, '0'), '0') END || 'Z"}}' AS value
+FROM latest""",
     ),
     "state_transitions": on(alarms(), state.state_transitions, f"WITH {states_sql()}\n{TRANSITIONS_SQL}"),
     "state_transitions_late": on(
