@@ -1,17 +1,19 @@
 """Ordered per-key operators that do not put a whole key into one task.
 
 A window over ``partitionBy(key).orderBy(seq)`` sends every row of a key to one task,
-so a key that holds a third of the data makes one task sort a third of the data. Both
+so a key that holds a third of the data makes one task sort a third of the data. The
 functions here cut each key's history into slices of a fixed span of the leading order
 column. Rows are shuffled by (key, slice); what has to cross a slice boundary is one row
 per (key, slice), found by a partially aggregated group-by, shifted along the key in a
 second and far smaller window, and joined back on the partitioning the rows already have.
 
 With a unique integral order column a slice holds at most ``span`` rows of any key,
-whatever the skew. Results equal those of the plain window.
+whatever the skew. For times and sparse numbers, ``measured_span`` finds a span from the
+data. Results equal those of the plain window for every span.
 """
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,6 +25,30 @@ def slice_column(order: str, span: int) -> Column:
     return F.expr(f"`{order}` div {int(span)}")
 
 
+def measured_span(df: DataFrame, order: str, rows: int = 1 << 22) -> int:
+    """Span at which a slice of the whole table holds about ``rows`` rows.
+
+    Runs one small aggregate over the order column. It assumes that rows come steadily.
+    """
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    if not n:
+        return 1
+    return max(1, (high - low + 1) * rows // n)
+
+
+def _position(order: Sequence[str]) -> Column:
+    """One comparable column for an order of one or two long columns.
+
+    Numbers keep ``max_by`` a hash aggregate; over a struct it would sort its input first.
+    """
+    if len(order) == 1:
+        return F.col(order[0])
+    if len(order) > 2:
+        raise ValueError("at most two order columns")
+    high, low = (F.col(name).cast("decimal(18,0)") for name in order)
+    return high * F.lit(Decimal(2**63)) + low
+
+
 def lag_in_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -33,7 +59,7 @@ def lag_in_key(
 ) -> DataFrame:
     """Add struct column ``into`` with the payload of the preceding row of the same key.
 
-    It is null for the first row of a key. ``order[0]`` must be a long column. With
+    It is null for the first row of a key. ``order`` is one or two long columns. With
     ``span=None`` the plain window is used, for inputs whose keys are known to be small.
     """
     keys, order = list(keys), list(order)
@@ -44,17 +70,17 @@ def lag_in_key(
         return {**lagged, f"{prefix}any": F.lag(F.lit(True)).over(along)}
 
     def packed(prefix: str) -> Column:
-        return F.when(F.col(f"{prefix}any"), F.struct(*[F.col(f"{prefix}{name}").alias(name) for name in payload]))
+        parts = [F.col(f"{prefix}{name}").alias(name) for name in payload]
+        return F.when(F.col(f"{prefix}any"), F.struct(*parts))
 
     if span is None:
         plain = df.withColumns(shifted(Window.partitionBy(*keys).orderBy(*order), "_lag_"))
         return plain.withColumn(into, packed("_lag_")).select(*df.columns, into)
 
     sliced = df.withColumn(SLICE, slice_column(order[0], span))
-    # Plain long/boolean buffers keep this a hash aggregate; a struct ordering
-    # (several order columns) falls back to a sort aggregate, still pre-aggregated.
-    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    last_of_slice = sliced.groupBy(*keys, SLICE).agg(*[F.max_by(name, position).alias(name) for name in payload])
+    last_of_slice = sliced.groupBy(*keys, SLICE).agg(
+        *[F.max_by(name, _position(order)).alias(name) for name in payload]
+    )
     carry = (
         last_of_slice.withColumns(shifted(Window.partitionBy(*keys).orderBy(SLICE), "_carry_"))
         .where("_carry_any")

@@ -75,8 +75,12 @@ def outages_over_time(intervals: DataFrame) -> DataFrame:
     )
 
 
-def outages_over_time_stream(intervals: DataFrame, lateness: str = "10 minutes") -> DataFrame:
-    """The same over an unbounded stream; a minute is final once the watermark has passed it."""
+def outages_over_time_stream(intervals: DataFrame, lateness: str = "48 hours") -> DataFrame:
+    """The same over an unbounded stream; a minute is final once the watermark has passed it.
+
+    An outage arrives when it ends and counts where it began, so the lateness must cover the
+    longest outage. Expiry of node state bounds that to 48 hours.
+    """
     return (
         intervals.withWatermark("down_at", lateness)
         .groupBy(F.window("down_at", "1 minute"))

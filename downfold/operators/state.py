@@ -38,9 +38,12 @@ def with_previous_state(
     return out
 
 
-def by_event_time(alarms: DataFrame, **options) -> DataFrame:
-    """The same with event-time order (ties by id) instead of arrival order."""
-    return with_previous_state(alarms, order=("event_time", "id"), span=EVENT_TIME_SPAN_MS, **options)
+def by_event_time(alarms: DataFrame, span: int = EVENT_TIME_SPAN_MS, **options) -> DataFrame:
+    """The same with event-time order (ties by id) instead of arrival order.
+
+    ``span`` is in ms here; ``measured_span`` fits it to the data.
+    """
+    return with_previous_state(alarms, order=("event_time", "id"), span=span, **options)
 
 
 def closes_outage() -> Column:

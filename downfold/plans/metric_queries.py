@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from downfold.constants import BATCH_BOUNDS, LATENCY_BOUNDS, OUTAGE_BOUNDS
-from downfold.functions.quantiles import bucket_histogram, exact_quantiles, histogram_quantile
+from downfold.functions.ordered import measured_span
+from downfold.functions.quantiles import bucket_histogram, exact_quantiles
 from downfold.functions.scalar import hour_of_day
 from downfold.operators import alerts, decode, metrics
 from downfold.operators.state import (
@@ -134,11 +135,9 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return testtables.samples(spark, sf_dir)
 
 
-def _counter_rate(seconds: int):
-    def run(df: DataFrame) -> DataFrame:
-        return metrics.counter_rate(df, seconds).drop("labels")
-
-    return run
+def _counter_rate(df: DataFrame) -> DataFrame:
+    by_us = df.select(F.unix_micros("ts").alias("us"))
+    return metrics.counter_rate(df, 3600, measured_span(by_us, "us")).drop("labels")
 
 
 LAG_SQL = "created_ms - event_time"
@@ -169,7 +168,8 @@ moves AS (
     CASE WHEN down THEN 'DOWN' ELSE 'UP' END AS b
   FROM states WHERE (down AND pd IS NOT TRUE) OR (pd AND NOT down AND event_time > pt))
 SELECT 'messages_total' AS metric, '{{"status":"ok","topic":"' || topic || '"}}' AS labels,
-  (count(*) FILTER (WHERE reject IS NULL AND node_id <> ''))::DOUBLE AS value FROM messages GROUP BY topic
+  (count(*) FILTER (WHERE reject IS NULL AND node_id <> ''))::DOUBLE AS value
+  FROM messages GROUP BY topic
 UNION ALL SELECT 'errors_total', '{{"operation":"kafka","type":"json_unmarshal"}}', count(*) FROM messages WHERE reject IS NOT NULL
 UNION ALL SELECT 'messages_skipped_total', '{{"reason":"empty_node_id"}}', count(*) FROM messages
   WHERE reject IS NULL AND node_id = ''
@@ -345,7 +345,7 @@ QUERIES = {
     ),
     "counter_rate": on(
         _samples,
-        _counter_rate(3600),
+        _counter_rate,
         f"""WITH {SAMPLES_SQL} SELECT metric, series, {_rate_window_sql(3600)} AS window_start_ms,
   sum(increase) AS increase, sum(increase) / 3600.0::DOUBLE AS rate FROM increases GROUP BY ALL""",
     ),

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from downfold.constants import BANDS
 from downfold.functions import scalar
+from downfold.functions.ordered import measured_span
 from downfold.operators import decode, filters, outages, sla, state
 from downfold.plans.tables import (
     DAY,
@@ -75,10 +76,8 @@ def _on_intervals(operator, select: str, clock: str = "natural"):
 
 def _bands(df: DataFrame) -> DataFrame:
     """Every outage in its colour band, and the whole table's totals in theirs."""
-    per_outage = df.groupBy(
-        F.lit("duration").alias("panel"), scalar.threshold_band(F.col("duration_ms") / 1000.0, BANDS["duration"]).alias("band")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    out = per_outage
+    band = scalar.threshold_band(F.col("duration_ms") / 1000.0, BANDS["duration"]).alias("band")
+    out = df.groupBy(F.lit("duration").alias("panel"), band).agg(F.count(F.lit(1)).alias("n"))
     for panel, kpi in (
         ("outages", outages.total_outages),
         ("avg_duration", outages.avg_duration),
@@ -218,13 +217,14 @@ WHERE down_ms BETWEEN epoch_ms(TIMESTAMP '{FIRST}') AND epoch_ms(TIMESTAMP '{LAS
     ),
     "downtime_intervals_by_event_time": on(
         alarms("late"),
-        lambda df: state.intervals_of(state.by_event_time(df)),
+        lambda df: state.intervals_of(state.by_event_time(df, measured_span(df, "event_time"))),
         f"WITH {intervals_sql('late', order='event_time, id')}\nSELECT {INTERVAL_COLUMNS} FROM intervals",
     ),
     "latest_node_state": on(
         alarms(),
         state.latest_node_state,
-        f"""WITH {alarms_sql()} SELECT node_id, CASE WHEN arg_max(trap_id, id) IN (1417, 1535) THEN 'DOWN' ELSE 'UP' END AS status,
+        f"""WITH {alarms_sql()}
+SELECT node_id, CASE WHEN arg_max(trap_id, id) IN (1417, 1535) THEN 'DOWN' ELSE 'UP' END AS status,
   arg_max(event_time, id) AS last_seen_at_ms, max(id) AS id FROM alarms GROUP BY node_id""",
     ),
     "state_documents": on(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from downfold.operators import decode, filters, outages, sla
 from downfold.operators.state import with_previous_state, intervals_of
 from downfold.plans.outage_queries import MEAN_SEC, PARTIALS_SQL, QUERIES as PLAIN, SLA_SQL
-from downfold.plans.tables import INTERVAL_COLUMNS, MESSAGES_SQL, Query, alarms_sql, comparable, intervals_sql
+from downfold.plans.tables import INTERVAL_COLUMNS, Query, alarms_sql, comparable, intervals_sql
 from downfold.schemas import CDC_MESSAGES, NODE_INTERVALS
 from downfold.session import pin_utc, work_folder
 from downfold.sources import alarms as alarm_source, intervals as tables, testtables

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from downfold.constants import BANDS
 from downfold.functions import scalar
-from downfold.operators import filters, outages, sla
+from downfold.operators import filters, metrics, outages, sla, state
+from downfold.sources import testtables
 from helpers import intervals
 
 
@@ -139,3 +140,24 @@ def test_bands(spark, name, cases):
     got = {r.value: r.band for r in outages.with_band(df, "value", name).collect()}
     assert got == {float(k): v for k, v in cases.items()}
     assert spark.range(1).select(scalar.threshold_band(F.lit(None).cast("double"), BANDS[name])).first()[0] is None
+
+
+@pytest.mark.parametrize("clock", ["natural", "fast", "late"])
+def test_totals_agree(spark, clock):
+    table = testtables.alarms(spark, "/root/testdata/sf0.001", clock)
+    df = state.downtime_intervals(table).cache()
+    n, ms, shortest = df.agg(F.count(F.lit(1)), F.sum("duration_ms"), F.min("duration_ms")).first()
+    daily = sla.daily_node_partials(df).agg(F.sum("sum_down_ms"), F.sum("incidents")).first()
+    closed = state.state_transitions(table).where("from_state = 'DOWN'").agg(F.sum("transitions"))
+    assert shortest > 0
+    assert tuple(daily) == (ms, n)
+    assert value(closed) == n
+    assert value(outages.duration_histogram(df).agg(F.sum("count"))) == n
+    assert value(metrics.outage_histogram(df).agg(F.max("cumulative"))) == n
+    assert value(outages.hourly_pattern(df).agg(F.sum("outage_count"))) == n
+    if clock != "late":
+        overlaps = df.alias("a").join(df.alias("b"), "node_id").where(
+            "a.down_at < b.down_at and b.down_at < a.up_at"
+        )
+        assert overlaps.count() == 0
+    df.unpersist()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from downfold.constants import STATE_TTL_MS
-from downfold.functions.ordered import lag_in_key, running_max_in_key, running_sum_in_key
+from downfold.functions.ordered import lag_in_key, measured_span, running_max_in_key, running_sum_in_key
 from downfold.operators import state
 from helpers import alarms, brute_intervals, parse, seconds
 
@@ -135,3 +135,11 @@ def test_running_totals(spark):
                     seen += [] if v is None else [v]
                     expected = fold(seen) if seen else (0 if fold is sum else None)
                     assert got[(k, o)] == expected
+
+
+def test_measured_span(spark):
+    even = spark.range(0, 10_000, 10)
+    assert measured_span(even, "id", 100) == 999
+    assert measured_span(even.where("id < 0"), "id") == 1
+    slices = even.select(F.expr("id div 999").alias("s")).groupBy("s").count()
+    assert slices.agg(F.max("count")).first()[0] <= 101
