@@ -3,9 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from downfold.operators import sla, state
+from downfold.operators import decode, sla, state
 from downfold.session import work_folder
-from downfold.sources import alarms as alarm_source, intervals as tables
+from downfold.sources import alarms as alarm_source, intervals as tables, testtables
 from downfold.streaming import fold, rollup
 from helpers import alarms, brute_intervals, intervals, parse, seconds
 
@@ -120,3 +120,21 @@ def test_compaction_keeps_sums(spark):
         tables.write_daily_states(part, path, b)
     tables.compact_daily_states(spark, path, target)
     assert [tuple(r)[2:] for r in tables.read_daily_states(spark, target).collect()] == [(6000, 3)]
+
+
+def test_messages_to_report(spark):
+    """Change messages, damaged ones included, through the job to the SLA report."""
+    landed, root = work_folder(spark, "messages"), work_folder(spark, "root")
+    messages = testtables.cdc_messages(spark, "/root/testdata/sf0.001")
+    for low in (0, 400):
+        part = messages.where(F.col("offset").between(low, low + 399 if low == 0 else 10**9))
+        part.coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    query = fold.start_interval_job(decode.accepted_alarms(stream), root, work_folder(spark, "cp"), trigger=ONCE)
+    assert query.awaitTermination(120)
+    batch = state.downtime_intervals(decode.accepted_alarms(messages))
+    assert batch.count() > 100
+    assert seconds(tables.read_intervals(spark, f"{root}/intervals")) == seconds(batch)
+    report = sla.node_sla_report(tables.read_daily_states(spark, f"{root}/daily"))
+    expected = sla.node_sla_report(sla.daily_node_partials(batch))
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, expected.collect()))
