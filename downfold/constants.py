@@ -9,7 +9,7 @@ SHARDS = 5
 SINK_FLUSH_MS = 2_000
 
 CDC_TOPIC = "dbserver1.inventory.histalarms"
-CDC_GROUP = "nms-processor-v1"
+CDC_GROUP = "downfold"
 
 FNV_OFFSET_BASIS = 2_166_136_261
 FNV_PRIME = 16_777_619

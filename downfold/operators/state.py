@@ -30,6 +30,7 @@ def with_previous_state(
     ``prev`` is null for a node's first alarm, and with ``state_ttl_ms`` also when the state
     was not refreshed for longer than that. Expiry is measured in event time here.
     """
+    order = [order] if isinstance(order, str) else order
     flagged = alarms.withColumn("down", F.coalesce(is_down(F.col("trap_id"), down_traps), F.lit(False)))
     out = lag_in_key(flagged, ["node_id"], order, ["down", "event_time"], "prev", span)
     if state_ttl_ms is not None:

@@ -120,20 +120,23 @@ def stateful_settings(spark: SparkSession):
                 spark.conf.set(key, value)
 
 
+# Place of a stored state in a node's order: before every alarm of the new micro-batch.
+BEFORE_ALL = -(1 << 62)
+
+
 def fold_batch(batch: DataFrame, state: DataFrame | None, ttl_ms: int | None, now_ms: int):
-    """(intervals, new state) of one micro-batch of ``(node_id, ord, event_time, down)`` rows.
+    """(intervals, new state) of one micro-batch of ``(node_id, id, event_time, down)`` rows.
 
-    The stored state of a node takes part as an alarm that precedes all new ones and can
-    open an outage but not close one.
+    The stored state of a node takes part as an alarm before all new ones, whatever their
+    ids: it can open an outage but not close one. Inside the batch the order is by id.
     """
-    rows = batch.select("node_id", "ord", "event_time", "down", F.lit(now_ms).alias("seen_ms"))
+    rows = batch.select("node_id", "id", "event_time", "down", F.lit(now_ms).alias("seen_ms"), F.col("id").alias("ord"))
     if state is not None:
         live = state if ttl_ms is None else state.where(F.col("seen_ms") >= now_ms - ttl_ms)
-        rows = rows.unionByName(live.select(rows.columns))
+        rows = rows.unionByName(live.withColumn("ord", F.lit(BEFORE_ALL)).select(rows.columns))
     seen = lag_in_key(rows, ["node_id"], ["ord"], ["down", "event_time"], "prev", ID_SPAN)
     last = rows.groupBy("node_id").agg(
-        F.max("ord").alias("ord"),
-        *[F.max_by(c, "ord").alias(c) for c in ("event_time", "down", "seen_ms")],
+        *[F.max_by(name, "ord").alias(name) for name in ("id", "event_time", "down", "seen_ms")]
     )
     return intervals_of(seen), last
 
@@ -154,7 +157,7 @@ def start_interval_job(
     """
     slim = alarm_stream.select(
         "node_id",
-        F.col("id").alias("ord"),
+        "id",
         "event_time",
         F.coalesce(is_down(F.col("trap_id"), down_traps), F.lit(False)).alias("down"),
     )
@@ -186,5 +189,5 @@ def read_node_state(spark: SparkSession, root: str) -> DataFrame:
         "node_id",
         F.when(F.col("down"), "DOWN").otherwise("UP").alias("status"),
         F.timestamp_millis("event_time").alias("last_seen_at"),
-        F.col("ord").alias("id"),
+        "id",
     )

@@ -61,26 +61,33 @@ def test_job_equals_batch_and_survives_restart(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, state.latest_node_state(df).collect()))
 
 
-def test_fold_of_a_batch_is_the_same_when_repeated(spark):
-    def slim(df):
-        return df.select("node_id", F.col("id").alias("ord"), "event_time", (F.col("trap_id") == 1417).alias("down"))
+def slim(df):
+    return df.select("node_id", "id", "event_time", (F.col("trap_id") == 1417).alias("down"))
 
-    first = slim(alarms(spark, parse("D@0 U@3 D@9")))
-    _, after = fold.fold_batch(first, None, None, 0)
-    second = slim(alarms(spark, parse("U@20 D@30"))).withColumn("ord", F.col("ord") + 100)
+
+def test_fold_of_a_batch_is_the_same_when_repeated(spark):
+    _, after = fold.fold_batch(slim(alarms(spark, parse("D@0 U@3 D@9"))), None, None, 0)
+    second = slim(alarms(spark, parse("U@20 D@30"))).withColumn("id", F.col("id") + 100)
     for _ in range(2):
         out, last = fold.fold_batch(second, after, None, 0)
         assert seconds(out) == [("A", 9, 20, 11)]
-        assert [(r.down, r.event_time) for r in last.collect()] == [(True, 30_000)]
+        assert [(r.id, r.down, r.event_time) for r in last.collect()] == [(102, True, 30_000)]
 
 
-def test_state_expires_in_the_job(spark):
-    def slim(df, start):
-        flag = (F.col("trap_id") == 1417).alias("down")
-        return df.select("node_id", (F.col("id") + start).alias("ord"), "event_time", flag)
+def test_stored_state_precedes_smaller_ids(spark):
+    """Arrival decides: a later micro-batch follows the state even with smaller ids."""
+    first = slim(alarms(spark, parse("D@0 U@3"))).withColumn("id", F.col("id") + 100)
+    _, after = fold.fold_batch(first, None, None, 0)
+    out, last = fold.fold_batch(slim(alarms(spark, parse("D@1 U@2"))), after, None, 0)
+    assert seconds(out) == [("A", 1, 2, 1)]
+    assert [(r.id, r.down) for r in last.collect()] == [(2, False)]
+    unchanged, kept = fold.fold_batch(slim(alarms(spark, [])), after, None, 0)
+    assert unchanged.count() == 0 and [(r.id, r.down) for r in kept.collect()] == [(102, False)]
 
-    _, after = fold.fold_batch(slim(alarms(spark, parse("D@0")), 0), None, 1000, 5000)
-    closing = slim(alarms(spark, parse("U@20")), 10)
+
+def test_state_expires_in_the_job(spark):
+    _, after = fold.fold_batch(slim(alarms(spark, parse("D@0"))), None, 1000, 5000)
+    closing = slim(alarms(spark, parse("U@20"))).withColumn("id", F.col("id") + 10)
     assert fold.fold_batch(closing, after, 1000, 6000)[0].count() == 1
     assert fold.fold_batch(closing, after, 1000, 6001)[0].count() == 0
 
