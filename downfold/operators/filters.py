@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from downfold.functions.scalar import utc_day
 
 def _ts(value):
     """A literal for ISO text or a datetime; aware datetimes keep their instant.
@@ -21,7 +22,7 @@ def filter_time_range(df: DataFrame, start, end, column: str = "down_at") -> Dat
     """Closed range on ``column``; also prunes ``down_day`` partitions where they apply."""
     kept = df.where(F.col(column).between(_ts(start), _ts(end)))
     if column == "down_at" and "down_day" in df.columns:
-        kept = kept.where(F.col("down_day").between(_ts(start).cast("date"), _ts(end).cast("date")))
+        kept = kept.where(F.col("down_day").between(utc_day(_ts(start)), utc_day(_ts(end))))
     return kept
 
 
@@ -31,7 +32,7 @@ def filter_recent(df: DataFrame, as_of, interval: str, column: str = "down_at")
     since = now - F.expr(f"INTERVAL {interval}")
     kept = df.where(F.col(column) >= since)
     if column == "down_at" and "down_day" in df.columns:
-        kept = kept.where(F.col("down_day") >= since.cast("date"))
+        kept = kept.where(F.col("down_day") >= utc_day(since))
     return kept
 
 

@@ -127,6 +127,18 @@ def test_days_and_hours_do_not_follow_the_session_zone(spark):
     assert tuple(row) == ("2024-01-01", 23)
 
 
+def test_day_pruning_does_not_follow_the_session_zone(spark):
+    rows = [("A", at("2024-01-01 23:30:00"), at("2024-01-01 23:31:00"))]
+    df = intervals(spark, rows)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        ranged = filters.filter_time_range(df, "2024-01-02 08:30:00", "2024-01-02 08:40:00").count()
+        recent = filters.filter_recent(df, "2024-01-02 08:35:00", "5 MINUTES").count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (ranged, recent) == (1, 1)
+
+
 @pytest.mark.parametrize(
     "name, cases",
     [
