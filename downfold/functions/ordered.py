@@ -61,6 +61,7 @@ def lag_in_key(
 
     It is null for the first row of a key. ``order`` is one or two long columns. With
     ``span=None`` the plain window is used, for inputs whose keys are known to be small.
+    ``df`` is read twice, so an input that is costly to derive should be a written table.
     """
     keys, order = list(keys), list(order)
 

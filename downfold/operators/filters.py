@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from downfold.functions.scalar import utc_day
 
+
 def _ts(value):
     """A literal for ISO text or a datetime; aware datetimes keep their instant.
 
