@@ -1,6 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 Each query runs once to warm up and then three times, written to nowhere; the median counts.
+Queries that warm up for longer than three seconds run once more only.
 ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose input and cores.
 """
 
@@ -25,6 +26,7 @@ HEADLINE = (
 ).split()
 
 RUNS = 3
+LONG = 3.0
 
 
 def seconds(run, spark, sf_dir):
@@ -51,8 +53,9 @@ def main():
     times, rows_per_sec = {}, 0
     for name in only or HEADLINE:
         run = QUERIES[name].run
-        seconds(run, spark, sf_dir)
-        times[name] = round(statistics.median(seconds(run, spark, sf_dir) for _ in range(RUNS)), 3)
+        runs = RUNS if seconds(run, spark, sf_dir) < LONG else 1
+        times[name] = round(statistics.median(seconds(run, spark, sf_dir) for _ in range(runs)), 3)
+        print(f"{name} {times[name]}", file=sys.stderr, flush=True)
     if "downtime_intervals" in times:
         alarms = spark.read.parquet(f"{sf_dir}/events.parquet").count()
         rows_per_sec = round(alarms / times["downtime_intervals"])
