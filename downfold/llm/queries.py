@@ -4,7 +4,7 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from downfold.llm import decontaminate, exact_dedup, line_dedup, mixing
+from downfold.llm import decontaminate, exact_dedup, line_dedup, mixing, ngram_join
 from downfold.llm.common import read_table
 
 UP, LOW = string.ascii_uppercase, string.ascii_lowercase
@@ -95,6 +95,34 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_groups(read_table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UP}', '{LOW}'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 3), ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 3))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (
+  SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+  WHERE 100 * common >= 85 * (x.n + y.n - common)),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.b) AS component_id,
+  (SELECT count(*) FROM e WHERE e.a = d.doc_id) AS n_links
+FROM d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY ALL
+"""
+
+
 def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -130,6 +158,7 @@ FROM k LEFT JOIN r USING (key) GROUP BY doc_id
 QUERIES = {
     "op2_pareto_mix": (op2_pareto_mix, OP2_SQL),
     "op4_wu_manber": (op4_wu_manber, OP4_SQL),
+    "op7_ngram_join": (op7_ngram_join, OP7_SQL),
     "op8_block_naming": (op8_block_naming, OP8_SQL),
     "op9_line_bitmaps": (op9_line_bitmaps, OP9_SQL),
 }
