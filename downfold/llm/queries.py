@@ -2,11 +2,13 @@
 
 import string
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from downfold.llm import decontaminate, exact_dedup, line_dedup, mixing, ngram_join
+from downfold.llm import decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, ngram_join, token_counts, wavelet
 from downfold.llm.common import read_table
 
+TOKENIZER = "byte_bpe_50k.json"
 UP, LOW = string.ascii_uppercase, string.ascii_lowercase
 
 
@@ -14,6 +16,10 @@ def _sha(text):
     return F.sha2(text.cast("binary"), 256)
 
 
+def op1_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_lengths(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(read_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source")
@@ -58,6 +64,10 @@ FROM c
 """
 
 
+def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.encoded(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op4_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -155,10 +165,20 @@ SELECT doc_id, count(*)::BIGINT AS n_lines,
 FROM k LEFT JOIN r USING (key) GROUP BY doc_id
 """
 
+def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is the documents labelled as of good quality, the background all documents."""
+    docs = read_table(spark, sf_dir, "documents")
+    good = read_table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
+    return lm_scoring.cross_entropy_difference(docs, docs.join(good, "doc_id", "left_semi"))
+
+
 QUERIES = {
+    "op1_length_histogram": (op1_length_histogram, None),
     "op2_pareto_mix": (op2_pareto_mix, OP2_SQL),
+    "op3_wavelet_shards": (op3_wavelet_shards, None),
     "op4_wu_manber": (op4_wu_manber, OP4_SQL),
     "op7_ngram_join": (op7_ngram_join, OP7_SQL),
     "op8_block_naming": (op8_block_naming, OP8_SQL),
     "op9_line_bitmaps": (op9_line_bitmaps, OP9_SQL),
+    "op10_cross_entropy": (op10_cross_entropy, None),
 }
