@@ -5,7 +5,7 @@ import string
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from downfold.llm import decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, ngram_join, token_counts, toxicity, wavelet
+from downfold.llm import decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, ngram_join, pii, token_counts, toxicity, wavelet
 from downfold.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -105,6 +105,10 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op5_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -181,6 +185,7 @@ QUERIES = {
     "op2_pareto_mix": (op2_pareto_mix, OP2_SQL),
     "op3_wavelet_shards": (op3_wavelet_shards, None),
     "op4_wu_manber": (op4_wu_manber, OP4_SQL),
+    "op5_weak_supervision": (op5_weak_supervision, None),
     "op6_toxicity_trees": (op6_toxicity_trees, None),
     "op7_ngram_join": (op7_ngram_join, OP7_SQL),
     "op8_block_naming": (op8_block_naming, OP8_SQL),
