@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from downfold.llm.common import rows_of, written
+from downfold.llm.common import written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -60,48 +60,62 @@ def source_targets(
         / F.sum("weight").over(by_ratio.rowsBetween(0, Window.unboundedFollowing))
     )
     levelled = weighed.withColumn("level", level).withColumn(
-        "water", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(Window.partitionBy())
+        "water", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(Window.partitionBy())
     )
     target = F.least(F.col("cap"), F.coalesce(F.col("water") * F.col("weight"), F.col("cap")))
     return levelled.select("source", "source_size", target.alias("target"))
 
 
-def _per_source(rows: DataFrame, facts: DataFrame, bounded: bool) -> DataFrame:
-    """``rows`` with the columns of ``facts`` for their source; the side of facts is broadcast if it is ``bounded``."""
+def _per_source(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``facts`` (a written table) for their source; others go."""
+    small = facts.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     facts = facts.withColumnRenamed("source", "_source")
-    return rows.join(F.broadcast(facts) if bounded else facts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    return rows.join(F.broadcast(facts) if small else facts, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
 
 
-def mixed(
-    docs: DataFrame,
-    weights: Sequence[int] = WEIGHTS,
-    share: float = SHARE,
-    max_copies: int = MAX_COPIES,
-    importance: str | None = None,
-    bins: int = BINS,
-    seed: str = SEED,
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
-
-    ``size`` is the number of words, 0 for a null text; ``copies`` is how often the mix has
-    the document and ``taken`` the words of these copies. ``importance`` names a positive
-    column to which rates within a source are proportional; without it they are equal.
-    Along the ranking a document is taken if its middle word still lies within what is
-    wanted, so a source ends within half a document of its target. Documents without words
-    get their certain copies only. Documents that repeat a doc_id share a random number; ties
-    are broken by doc_id and size, and rows alike in both are interchangeable. A null source
-    is a source. Other columns are ignored. An empty table gives an empty result.
+def _ranked(rows: DataFrame, max_copies: int, bins: int, seed: str) -> DataFrame:
+    """``rows`` (_id, size, w, rate, ...) with certain copies, the ranking variable ``odds`` and its range ``bin``.
+
+    A row whose certain copies are all it may have has no bin; a whole rate ranks last.
     """
-    picked = [F.col(importance).cast("double")] if importance else [F.lit(1.0)]
-    sized = written(
-        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), picked[0].alias("w")), "sizes"
+    rate = F.least(F.col("rate") * F.col("w"), F.lit(float(max_copies)))
+    u = uniform(F.col("_id"), seed)
+    odds = (u / (1 - u)) / (F.col("f") / (1 - F.col("f")))
+    full = F.col("certain") >= max_copies
+    return (
+        rows.withColumn("certain", F.floor(rate).cast("int"))
+        .withColumn("f", rate - F.col("certain"))
+        .withColumn("odds", F.when(F.col("f") > 0, odds).otherwise(F.lit(float("inf"))))
+        .withColumn(
+            "bin",
+            F.when(~full & (F.col("f") > 0), F.floor(F.col("odds") / (1 + F.col("odds")) * bins))
+            .when(~full, F.lit(bins))
+            .cast("int"),
+        )
     )
-    totals = sized.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.sum(F.col("w") * F.col("size")).alias("weighted")
+
+
+def _rank() -> Column:
+    return F.struct("odds", "_id", "size")
+
+
+def mix_plan(
+    sized: DataFrame, weights: Sequence[int], share: float, max_copies: int, bins: int, seed: str
+) -> DataFrame:
+    """(source, source_size, target, rate, cut_bin, last): what decides on a document of each source.
+
+    Along the ranking, documents in bins below ``cut_bin`` are taken, and in it those up to
+    ``last``; without a cut_bin all are.
+    """
+    totals = written(
+        sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("w") * F.col("size")).alias("weighted")),
+        "totals",
     )
-    targets = source_targets(totals, weights, share, max_copies)
+    targets = source_targets(totals, weights, share, max_copies).withColumnRenamed("source", "_s")
     facts = written(
-        targets.join(totals.drop("source_size").withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).select(
+        totals.select("source", "weighted")
+        .join(targets, F.col("source").eqNullSafe(F.col("_s")))
+        .select(
             "source",
             "source_size",
             "target",
@@ -109,33 +123,7 @@ def mixed(
         ),
         "targets",
     )
-    n_sources = facts.count()
-    if not n_sources:
-        return rows_of(
-            docs,
-            docs.select(
-                "doc_id", "source", *[F.lit(0).cast("long").alias(c) for c in ("size", "source_size")],
-                F.lit(0.0).alias("target"), F.lit(0).alias("copies"), F.lit(0).cast("long").alias("taken"),
-            ).schema,
-        )
-    bounded = n_sources <= BROADCAST_SOURCES
-
-    rate = F.least(F.col("rate") * F.col("w"), F.lit(float(max_copies)))
-    u = uniform(F.col("doc_id"), seed)
-    odds = (u / (1 - u)) / (F.col("f") / (1 - F.col("f")))
-    ranked = (
-        _per_source(sized, facts, bounded)
-        .withColumn("certain", F.floor(rate).cast("int"))
-        .withColumn("f", rate - F.col("certain"))
-        .withColumn("odds", F.when(F.col("f") > 0, odds).otherwise(F.lit(float("inf"))))
-        .withColumn(
-            "bin",
-            F.when(F.col("certain") >= max_copies, F.lit(None))
-            .when(F.col("f") > 0, F.floor(F.col("odds") / (1 + F.col("odds")) * bins))
-            .otherwise(F.lit(bins))
-            .cast("int"),
-        )
-    )
+    ranked = _ranked(_per_source(sized, facts), max_copies, bins, seed)
     per_bin = ranked.groupBy("source", "bin").agg(
         F.sum("size").alias("words"), F.sum(F.col("certain") * F.col("size")).alias("sure"), F.first("target").alias("target")
     )
@@ -147,27 +135,73 @@ def mixed(
         .filter(F.col("before") + F.col("words") > F.col("wanted"))
         .groupBy("source")
         .agg(F.min(F.struct("bin", "before", "wanted")).alias("cut"))
-        .select("source", F.col("cut.bin").alias("cut_bin"), F.col("cut.before").alias("before"), F.col("cut.wanted").alias("wanted"))
     )
-    facts2 = facts.join(cut.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").select(
-        "source", "cut_bin", "before", "wanted"
-    )
-    placed = _per_source(ranked, facts2, bounded)
-    near = Window.partitionBy("source").orderBy("odds", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    at_cut = F.col("bin") == F.col("cut_bin")
-    out = ["doc_id", "source", "size", "source_size", "target"]
+    cut = written(cut.select("source", F.col("cut.bin").alias("cut_bin"), F.col("cut.before").alias("before"), F.col("cut.wanted").alias("wanted")), "cuts")
+    near = Window.partitionBy("source").orderBy("odds", "_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     middle = F.col("before") + F.sum("size").over(near) - F.col("size") / 2
-    sampled = (
-        placed.filter(at_cut)
-        .withColumn("extra", F.when((F.col("size") > 0) & (middle <= F.col("wanted")), 1).otherwise(0))
-        .select(*out, "certain", "extra")
+    last = (
+        _per_source(ranked.select("source", "odds", "_id", "size", "bin"), cut)
+        .filter(F.col("bin") == F.col("cut_bin"))
+        .withColumn("middle", middle)
+        .filter((F.col("size") > 0) & (F.col("middle") <= F.col("wanted")))
+        .groupBy("source")
+        .agg(F.max(_rank()).alias("last"))
     )
-    # below the cut all are taken; a source without a cut wants all it has
-    below = F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin"))
-    rest = placed.filter(~F.coalesce(at_cut, F.lit(False))).select(
-        *out, "certain", F.when(F.col("bin").isNotNull() & below & (F.col("size") > 0), 1).otherwise(0).alias("extra")
+    out = facts
+    for part in (cut.select("source", "cut_bin"), last):
+        part = part.withColumnRenamed("source", "_s")
+        out = out.join(part, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    return written(out, "plan")
+
+
+def with_copies(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    max_copies: int = MAX_COPIES,
+    importance: str | None = None,
+    bins: int = BINS,
+    seed: str = SEED,
+) -> DataFrame:
+    """(row, source, size, source_size, target, copies) for each row of ``docs``; ``row`` is a struct of its columns.
+
+    ``size`` is the number of words, 0 for a null text, and ``copies`` how often the mix has
+    the document. ``importance`` names a positive column to which rates within a source are
+    proportional; without it they are equal. Along the ranking a document is taken if its
+    middle word still lies within what is wanted, so a source ends within half a document
+    of its target. Documents without words get their certain copies only. Documents that
+    repeat a doc_id share a random number; ties are broken by doc_id and size, and rows
+    alike in both fare alike at the cut. A null source is a source. An empty table gives an
+    empty result.
+
+    The plan is made from a table of sizes; the texts themselves are read once more and
+    never shuffled, as long as the number of sources allows a broadcast.
+    """
+    w = F.col(importance).cast("double") if importance else F.lit(1.0)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").alias("_id"),
+        "source",
+        word_count(F.col("text")).alias("size"),
+        w.alias("w"),
     )
-    copies = F.col("certain") + F.col("extra")
-    return rest.unionByName(sampled).select(
-        *out, copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken")
+    plan = mix_plan(written(rows.drop("row"), "sizes"), weights, share, max_copies, bins, seed)
+    ranked = _ranked(_per_source(rows, plan), max_copies, bins, seed)
+    below = F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin"))
+    within = (F.col("bin") == F.col("cut_bin")) & F.coalesce(_rank() <= F.col("last"), F.lit(False))
+    extra = F.when(F.col("bin").isNotNull() & (F.col("size") > 0) & (below | within), 1).otherwise(0)
+    return ranked.select("row", "source", "size", "source_size", "target", (F.col("certain") + extra).alias("copies"))
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """``with_copies`` as figures: doc_id, source, size, source_size, target, copies, taken (words, repeats counted)."""
+    taken = (F.col("copies") * F.col("size")).cast("long")
+    return with_copies(docs, **options).select(
+        F.col("row.doc_id").alias("doc_id"), "source", "size", "source_size", "target", "copies", taken.alias("taken")
     )
+
+
+def mixture(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that the mix has, each as often as it has it."""
+    copies = with_copies(docs, **options).filter(F.col("copies") > 0)
+    return copies.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

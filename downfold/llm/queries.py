@@ -45,7 +45,7 @@ l AS (
   FROM w),
 t AS (
   SELECT source, source_size, least(cap, coalesce(
-    (min(CASE WHEN level <= cap / weight THEN level END) OVER ()) * weight, cap)) AS target FROM l),
+    (max(CASE WHEN level <= cap / weight THEN level END) OVER ()) * weight, cap)) AS target FROM l),
 r AS (
   SELECT d.*, source_size, target,
     CASE WHEN source_size > 0 THEN least(target / source_size, 2.0) ELSE 0.0 END AS rate
