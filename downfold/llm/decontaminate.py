@@ -186,3 +186,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
         .withColumn("n_hit", n_hit)
         .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without an occurrence of a benchmark window."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "text")
+    found = benchmark_hits(whole, benchmark, window, pass_bytes, ("whole",))
+    return found.filter(F.size("hits") == 0).select("whole.*")

@@ -252,18 +252,8 @@ def class_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     return verified.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b")
 
 
-def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links.
-
-    Two rows link when their sets of ``size``-word shingles share ``percent`` hundredths of
-    their union; words are what white space parts, with A-Z in lower case, and a text of
-    fewer words is one shingle. A null, empty or blank text has no set and links with
-    nothing. component_id is the smallest doc_id reachable by links (null doc_ids are
-    passed over; a row that reaches none has null), n_links the number of rows linked with
-    the row. Rows that repeat a doc_id are rows like others. Columns beside doc_id and text
-    are ignored. An empty table gives an empty result. Shingles are compared by at least 45
-    bits of a hash.
-    """
+def group_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, t1, t2 (the text's MD5), n, component (null without a set) and reached."""
     sets = shared_sets(docs, size, percent)
     rows = written(docs.select("doc_id", *md5_halves(F.col("text"))), "rows")
     copies = rows.groupBy("t1", "t2").agg(F.count("*").alias("copies"))
@@ -306,7 +296,22 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
             + F.coalesce("outside", F.lit(0))
         ).alias("reached"),
     )
-    placed = written(rows.join(grouped, ["t1", "t2"]), "placed")
+    return written(rows.join(grouped, ["t1", "t2"]), "placed")
+
+
+def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links.
+
+    Two rows link when their sets of ``size``-word shingles share ``percent`` hundredths of
+    their union; words are what white space parts, with A-Z in lower case, and a text of
+    fewer words is one shingle. A null, empty or blank text has no set and links with
+    nothing. component_id is the smallest doc_id reachable by links (null doc_ids are
+    passed over; a row that reaches none has null), n_links the number of rows linked with
+    the row. Rows that repeat a doc_id are rows like others. Columns beside doc_id and text
+    are ignored. An empty table gives an empty result. Shingles are compared by at least 45
+    bits of a hash.
+    """
+    placed = group_rows(docs, size, percent)
     heads = placed.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min("doc_id").alias("head"))
     return placed.join(heads, "component", "left").select(
         "doc_id",
@@ -314,3 +319,20 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
         F.when(F.col("n") > 0, F.col("head")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("reached")).otherwise(F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def one_per_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that head their group: smallest doc_id, null last.
+
+    Rows without a set stay. Rows that agree in doc_id and text count as one.
+    """
+    placed = group_rows(docs, size, percent)
+    grouped = placed.filter(F.col("component").isNotNull())
+    name = F.struct(F.col("doc_id").isNull(), "doc_id", "t1", "t2")
+    heads = grouped.groupBy("component").agg(F.min(name).alias("head"))
+    gone = grouped.join(heads, "component").filter(name != F.col("head")).select("doc_id", "t1", "t2").distinct()
+    gone = written(gone, "gone").select(F.col("doc_id").alias("g0"), F.col("t1").alias("g1"), F.col("t2").alias("g2"))
+    t1, t2 = md5_halves(F.col("text"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", t1, t2)
+    same = (F.col("t1") == F.col("g1")) & (F.col("t2") == F.col("g2")) & F.col("doc_id").eqNullSafe(F.col("g0"))
+    return whole.join(gone, same, "left_anti").dropDuplicates(["t1", "t2", "doc_id"]).select("whole.*")

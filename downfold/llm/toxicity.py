@@ -246,17 +246,18 @@ def _assembled(table: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="dense").transform(table)
 
 
-def scored(docs: DataFrame, model: ToxicityModel, reject_at: float = REJECT_AT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, score, predicted."""
-    table = with_features(docs, model.lexicon)
+def scored(docs: DataFrame, model: ToxicityModel, reject_at: float = REJECT_AT, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """One row per row of ``docs``: the columns ``carry``, held_out, score, predicted."""
+    ids = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row"), "text", F.col("doc_id").alias("_id"))
+    table = with_features(ids, model.lexicon, ("_row", "_id"))
     if model.trees is None:
         table = table.withColumn("score", 1 - F.exp(-F.expm1("named_count")))
     else:
         table = model.scale.transform(model.trees.transform(_assembled(table)))
     score = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score")))
     return table.select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
+        "_row.*",
+        held_out(F.col("_id")).alias("held_out"),
         score.alias("score"),
         (score >= reject_at).cast("int").alias("predicted"),
     )
@@ -271,3 +272,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS, reject_
     is 1 - exp(-insults found).
     """
     return scored(docs, fit(docs, labels, rows), reject_at)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS, reject_at: float = REJECT_AT) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted toxic."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", "text")
+    return scored(whole, fit(docs, labels, rows), reject_at, ("whole",)).filter(F.col("predicted") == 0).select("whole.*")
