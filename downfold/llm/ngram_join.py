@@ -211,7 +211,7 @@ def shared_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
 
 def class_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b) for all linked pairs of ``classes`` (cid, n, tokens, ranges)."""
-    held = classes.select("cid", "n", "ranges", F.size("tokens").alias("shared"), F.explode("tokens").alias("token"))
+    held = classes.select("cid", "n", F.explode("tokens").alias("token"))
     df = held.groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") > 1)
     own = Window.partitionBy("cid")
     placed = (
@@ -221,8 +221,8 @@ def class_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
         # shingles that no other class has come first; they need no rows
         .withColumn("pos", F.col("n") - F.col("kept") + F.row_number().over(own.orderBy("df", "token")) - 1)
         .filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
-        .withColumn("alone", F.col("n") - F.col("shared"))
-        .select("token", "cid", "n", "pos", "alone", "ranges")
+        .select("token", "cid", "pos")
+        .join(classes.select("cid", "n", (F.col("n") - F.size("tokens")).alias("alone"), "ranges"), "cid")
     )
     prefixes = written(placed, "prefixes")
     a, b = prefixes.alias("a"), prefixes.alias("b")
@@ -257,7 +257,7 @@ def group_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     sets = shared_sets(docs, size, percent)
     rows = written(docs.select("doc_id", *md5_halves(F.col("text"))), "rows")
     copies = rows.groupBy("t1", "t2").agg(F.count("*").alias("copies"))
-    key = F.md5(F.concat_ws(",", "n", F.col("tokens").cast("array<string>")).cast("binary"))
+    key = F.unhex(F.md5(F.concat_ws(",", "n", F.col("tokens").cast("array<string>")).cast("binary")))
     texts = written(
         sets.join(copies, ["t1", "t2"]).select("t1", "t2", "n", "copies", F.when(F.col("tokens").isNotNull(), key).alias("cid")),
         "texts",
