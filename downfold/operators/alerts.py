@@ -28,9 +28,9 @@ HOUR = 60 * MINUTE
 # of an empty window; None means the rule has no data then.
 RULE_TABLE = [
     # rule, op, threshold, for_sec, severity, team, summary, no_data_is
-    ("high_single_outage", "gt", 10.0, 60, "critical", "sre", "Node outage of {{ $value }} s, limit 10 s", None),
+    ("high_single_outage", "gt", 10.0, 60, "critical", "sre", "Node outage of {{ $value }} s, limit 10 s", 0.0),
     ("outage_storm", "gt", 20.0, 120, "warning", "sre", "{{ $value }} outages in 5 minutes", 0.0),
-    ("node_flapping", "gt", 5.0, 300, "warning", "sre", "One node was down {{ $value }} times in an hour", None),
+    ("node_flapping", "gt", 5.0, 300, "warning", "sre", "One node was down {{ $value }} times in an hour", 0.0),
     ("many_nodes_down", "gt", 50.0, 300, "warning", "", "{{ $value }} nodes are down", 0.0),
     ("mass_outage", "gt", 100.0, 60, "critical", "nms-platform", "{{ $value }} nodes are down", 0.0),
     ("high_error_rate", "gt", 5.0, 120, "critical", "", "{{ $value }} errors per second", 0.0),
@@ -65,8 +65,9 @@ def evaluate_thresholds(series: DataFrame) -> DataFrame:
 
 def reduce_last(series: DataFrame, as_of: Column, lookback_sec: int, by: Sequence[str] = ()) -> DataFrame:
     """Last sample of each series that is not older than the lookback."""
-    age_us = F.unix_micros(as_of) - F.unix_micros("ts")
-    recent = series.where(F.col("value").isNotNull() & age_us.between(0, lookback_sec * 1_000_000))
+    since = as_of - F.expr(f"INTERVAL {int(lookback_sec)} SECONDS")
+    # bare column against bounds, so that both reach the scan
+    recent = series.where(F.col("value").isNotNull() & (F.col("ts") >= since) & (F.col("ts") <= as_of))
     return recent.groupBy(*by).agg(F.max_by("value", F.unix_micros("ts")).alias("value"))
 
 
@@ -124,6 +125,13 @@ def _unfold_times(df: DataFrame, step_ms: int) -> DataFrame:
     return days.where(start <= end).withColumn("time_ms", times).drop("start_ms", "end_ms", "_day")
 
 
+def checked_step(step_ms: int) -> int:
+    """Windows are sums of steps, so a step must divide the shortest of them."""
+    if step_ms <= 0 or RECENT % step_ms:
+        raise ValueError(f"an evaluation step must divide {RECENT} ms")
+    return step_ms
+
+
 def evaluation_times(span: DataFrame, step_ms: int = MINUTE) -> DataFrame:
     """Evaluation times from a one-row table ``(start_ms, end_ms)``."""
     return _unfold_times(span.select("start_ms", "end_ms"), step_ms)
@@ -160,6 +168,7 @@ def recent_outage_series(intervals: DataFrame, step_ms: int = MINUTE) -> DataFra
     An outage counts at time t once it has ended (up_at <= t) and while its start lies in
     the lookback (down_at >= t - lookback).
     """
+    checked_step(step_ms)
     ended = ceil_ms(F.unix_millis("up_at"), step_ms)
     began = floor_ms(F.unix_millis("down_at"), step_ms)
     steps = intervals.select("node_id", "duration_ms", ended.alias("_from"), began.alias("_began"))
@@ -228,6 +237,7 @@ def down_node_series(changes: DataFrame, times: DataFrame, step_ms: int = MINUTE
 
 def _sliding(steps: DataFrame, lookback_ms: int, step_ms: int) -> DataFrame:
     """Repeat step rows (``time_ms``) for the evaluation times whose lookback holds them."""
+    checked_step(step_ms)
     times = F.sequence(F.col("time_ms"), F.col("time_ms") + lookback_ms - step_ms, F.lit(step_ms))
     return steps.withColumn("time_ms", F.explode(times))
 
@@ -296,7 +306,7 @@ def rule_series(
     step_ms: int = MINUTE,
 ) -> DataFrame:
     """The series of all rules, from ``state_changes``, interval commits, alarms and messages."""
-    times = evaluation_times(span, step_ms)
+    times = evaluation_times(span, checked_step(step_ms))
     parts = [
         recent_outage_series(intervals_of(changes), step_ms),
         down_node_series(changes, times, step_ms),

@@ -1,6 +1,6 @@
 """From change messages to accepted alarms."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from downfold.constants import DOWN_TRAPS
 from downfold.functions.scalar import classify_status, event_time_ms_to_ts
@@ -13,11 +13,19 @@ def decode_cdc(messages: DataFrame) -> DataFrame:
     """Add ``id, node_id, trap_id, event_time`` and the ``reject`` reason (null when decodable).
 
     Missing or null fields take the zero value of their type, as the deciding rule of the
-    data model says. A message is undecodable when the text is blank, is not JSON, or holds
-    a field of the wrong type. Spark would read a numeric node as text, so node values that
-    do not look like plain names are checked against the type the text really has.
+    data model says. A message is undecodable when the text is blank, is not exactly
+    one JSON document (no single quotes, no NaN, nothing behind it), or holds a field of the
+    wrong type. The document ``null`` is decodable and names no node. ``id`` is null when it
+    is not an integer; it does not decide on anything. Spark would read a numeric node as
+    text, so node values that do not look like plain names are checked against the type the
+    text really has.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    options = {
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": "_corrupt",
+        "allowSingleQuotes": "false",
+        "allowNonNumericNumbers": "false",
+    }
     # Unfolding a one-element array keeps later filters from being pushed below the parse,
     # where they would parse every message a second time.
     document = F.array(F.from_json("value", CDC_VALUE, options))
@@ -28,16 +36,20 @@ def decode_cdc(messages: DataFrame) -> DataFrame:
         F.try_variant_get(F.try_parse_json("value"), "$.payload.after.node_id", "variant")
     )
     not_text = F.when(node.rlike(r"^([-0-9\[{]|true$|false$)"), raw_type != "STRING").otherwise(False)
+    # as the only element of an array: text behind the document breaks the array or adds to it
+    documents = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    bare = F.btrim("value", F.lit(" \t\r\n"))
     undecodable = (
         F.col("value").isNull()
-        | (F.trim("value") == "")
-        | F.col("_doc._corrupt").isNotNull()
+        | (bare == "")
+        | (F.coalesce(documents, F.lit(0)) != 1)
+        | ((bare != "null") & F.col("_doc._corrupt").isNotNull())
         | F.coalesce(not_text, F.lit(False))
     )
     keep = [F.col(c) for c in messages.columns]
     return parsed.select(
         *keep,
-        F.coalesce(after["id"], F.col("offset") if "offset" in messages.columns else F.lit(0)).alias("id"),
+        F.expr("try_cast(_doc.payload.after.id AS BIGINT)").alias("id"),
         F.coalesce(node, F.lit("")).alias("node_id"),
         F.coalesce(after["trap_id"], F.lit(0)).alias("trap_id"),
         F.coalesce(after["event_time"], F.lit(0)).alias("event_time"),
@@ -83,11 +95,21 @@ def with_status(alarms: DataFrame, down_traps=DOWN_TRAPS) -> DataFrame:
     )
 
 
+def arrival_of(partition: Column, offset: Column) -> Column:
+    """One long that orders messages by partition and offset; offsets stay below 2^48."""
+    return F.shiftleft(partition.cast("long"), 48) + offset
+
+
 def accepted_alarms(messages: DataFrame, down_traps=DOWN_TRAPS) -> DataFrame:
-    """Messages to alarms: decode, drop what cannot be used, classify."""
-    kept = skip_empty_node(decode_cdc(messages))
+    """Messages to alarms: decode, drop what cannot be used, classify.
+
+    ``arrival`` is the place in the feed. The folds go by it where it is there: updates,
+    redeliveries and rows read again carry old ids but arrive when they arrive. A node's
+    messages are expected in one partition.
+    """
+    kept = skip_empty_node(decode_cdc(messages)).withColumn("arrival", arrival_of(F.col("partition"), F.col("offset")))
     return with_status(kept, down_traps).select(
-        "id", "node_id", "trap_id", "event_time", "event_ts", "status", F.col("timestamp").alias("created_at")
+        "id", "arrival", "node_id", "trap_id", "event_time", "event_ts", "status", F.col("timestamp").alias("created_at")
     )
 
 

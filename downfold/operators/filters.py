@@ -8,15 +8,15 @@ from downfold.functions.scalar import utc_day
 
 
 def _ts(value):
-    """A literal for ISO text or a datetime; aware datetimes keep their instant.
+    """A literal for ISO text or a datetime; without an offset it is UTC, whatever the session's zone.
 
     Columns pass through, so ``df.agg(F.max("up_at")).scalar()`` can stand for "now".
     """
     if isinstance(value, Column):
         return value
-    if isinstance(value, datetime) and value.tzinfo is not None:
-        value = value.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
-    return F.lit(value).cast("timestamp")
+    at = datetime.fromisoformat(value) if isinstance(value, str) else value
+    at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+    return F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
 
 
 def filter_time_range(df: DataFrame, start, end, column: str = "down_at") -> DataFrame:
@@ -45,6 +45,6 @@ def filter_nodes(df: DataFrame, node_ids=None) -> DataFrame:
 
 
 def sla_report_for_day(report: DataFrame, day=None) -> DataFrame:
-    """One day of the SLA report; ``day=None`` is today."""
-    wanted = F.current_date() if day is None else F.lit(day).cast("date")
+    """One day of the SLA report; ``day=None`` is today in UTC."""
+    wanted = utc_day(F.current_timestamp()) if day is None else F.lit(day).cast("date")
     return report.where(F.col("day") == wanted)

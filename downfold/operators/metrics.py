@@ -21,9 +21,12 @@ def event_rate(
     slide_sec: int | None = None,
     by: Sequence[str] = (),
     per_sec: float = 1.0,
+    fill: bool = False,
 ) -> DataFrame:
     """Events per second in each window, optionally per label; ``per_sec=60`` is per minute.
 
+    With ``fill``, windows without events between a label's first and last one count 0.
+
     For sliding windows events are first counted into slide-sized steps, and only those
     counts are repeated for the windows they belong to, not the events.
     """
@@ -46,6 +49,11 @@ def event_rate(
             .groupBy(*by, "_start")
             .agg(F.sum("_n").alias("events"))
         )
+    if fill:
+        bounds = counted.groupBy(*by).agg(F.min("_start").alias("_low"), F.max("_start").alias("_high"))
+        every = F.explode(F.sequence("_low", "_high", F.lit(slide))).alias("_start")
+        empty = bounds.where(F.col("_low").isNotNull()).select(*by, every, F.lit(0).cast("long").alias("events"))
+        counted = counted.unionByName(empty).groupBy(*by, "_start").agg(F.sum("events").alias("events"))
     return counted.select(
         *by,
         F.timestamp_millis("_start").alias("window_start"),
@@ -190,7 +198,7 @@ def last_value(samples: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
 
 
 def health_score(rates: DataFrame, rate: str = "rate") -> DataFrame:
-    """100 less ten points per error per second."""
+    """100 less ten points per error per second; full health shows where rates are made with ``fill``."""
     return rates.withColumn("health", 100.0 - F.col(rate) * 10.0)
 
 
@@ -223,8 +231,7 @@ def compare_filter(series: DataFrame, op: str, x: float, value: str = "value") -
 def domain_metrics(messages: DataFrame, alarms: DataFrame, **state_options) -> DataFrame:
     """All domain counters and gauges as one long table ``(metric, labels, value)``.
 
-    Messages are decoded in one pass and alarms folded in one pass; per-node counts serve
-    both the per-node rows and the fleet totals.
+    Counts by topic and by node serve both their own rows and the fleet totals.
     """
     no_labels = F.create_map().cast("map<string,string>")
 

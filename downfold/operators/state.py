@@ -18,9 +18,14 @@ ID_SPAN = 1 << 22
 EVENT_TIME_SPAN_MS = 15 * 60_000
 
 
+def arrival_column(alarms: DataFrame) -> str:
+    """Alarms from a feed go by their place in it, rows of an alarm table by ``id``."""
+    return "arrival" if "arrival" in alarms.columns else "id"
+
+
 def with_previous_state(
     alarms: DataFrame,
-    order=("id",),
+    order=None,
     state_ttl_ms: int | None = None,
     span: int | None = ID_SPAN,
     down_traps=DOWN_TRAPS,
@@ -30,7 +35,7 @@ def with_previous_state(
     ``prev`` is null for a node's first alarm, and with ``state_ttl_ms`` also when the state
     was not refreshed for longer than that. Expiry is measured in event time here.
     """
-    order = [order] if isinstance(order, str) else order
+    order = [arrival_column(alarms)] if order is None else [order] if isinstance(order, str) else order
     flagged = alarms.withColumn("down", F.coalesce(is_down(F.col("trap_id"), down_traps), F.lit(False)))
     out = lag_in_key(flagged, ["node_id"], order, ["down", "event_time"], "prev", span)
     if state_ttl_ms is not None:
@@ -75,13 +80,13 @@ def latest_node_state(alarms: DataFrame, down_traps=DOWN_TRAPS) -> DataFrame:
 
     Long and boolean aggregation buffers keep this a hash aggregate with map-side merging.
     """
-    down = is_down(F.col("trap_id"), down_traps)
+    down, at = is_down(F.col("trap_id"), down_traps), arrival_column(alarms)
     return (
         alarms.groupBy("node_id")
         .agg(
-            F.max_by(down, "id").alias("_down"),
-            F.max_by("event_time", "id").alias("event_time"),
-            F.max("id").alias("id"),
+            F.max_by(down, at).alias("_down"),
+            F.max_by("event_time", at).alias("event_time"),
+            F.max_by("id", at).alias("id"),
         )
         .select(
             "node_id",
@@ -95,7 +100,8 @@ def latest_node_state(alarms: DataFrame, down_traps=DOWN_TRAPS) -> DataFrame:
 def state_documents(states: DataFrame) -> DataFrame:
     """Node states as key-value pairs: ``node:<id>`` and a JSON document."""
     # Fractions of a second without trailing zeros, as RFC 3339 prints them.
-    at = F.date_format("last_seen_at", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    in_utc = F.to_utc_timestamp("last_seen_at", F.current_timezone())
+    at = F.date_format(in_utc, "yyyy-MM-dd'T'HH:mm:ss.SSS")
     at = F.concat(F.regexp_replace(at, r"\.?0+$", ""), F.lit("Z"))
     document = F.to_json(F.struct("status", at.alias("last_seen_at")))
     return states.select(state_key(F.col("node_id")).alias("key"), document.alias("value"))

@@ -251,7 +251,7 @@ def _rules_sql() -> str:
 SERIES_SQL = f"""{commits_sql("fast")}, {_rules_sql()},
 grid AS (SELECT unnest(generate_series((min(event_time) + 59999) // 60000 * 60000,
   (max(event_time) + 59999) // 60000 * 60000, 60000)) AS t FROM alarms),
-errs AS (SELECT epoch_us(ts) // 1000 // 1000 AS ms FROM events WHERE event_id % 50 IN (0, 3, 4, 5)),
+errs AS (SELECT epoch_us(ts) // 1000 // 1000 AS ms FROM events WHERE event_id % 50 IN (0, 3, 4, 5, 6, 7, 8, 9)),
 lags AS (
   SELECT (created_ms + 59999) // 60000 * 60000 AS step, {LAG_SQL} AS lag_ms,
     row_number() OVER (ORDER BY (created_ms + 59999) // 60000, id) AS n
@@ -457,9 +457,13 @@ WHERE us >= (SELECT max(us) FROM samples) - 172800000000 GROUP BY 1""",
     ),
     "health_score": on(
         messages(),
-        lambda df: metrics.health_score(metrics.event_rate(_errors(df), "timestamp", 300)),
-        f"""WITH {MESSAGES_SQL} SELECT *, 100.0::DOUBLE - rate * 10.0::DOUBLE AS health
-FROM ({rate_sql(REJECTED, 'event_time', 300)})""",
+        lambda df: metrics.health_score(metrics.event_rate(_errors(df), "timestamp", 300, fill=True)),
+        f"""WITH {MESSAGES_SQL}, counted AS ({rate_sql(REJECTED, 'event_time', 300)}),
+every AS (SELECT unnest(generate_series((SELECT min(window_start_ms) FROM counted),
+  (SELECT max(window_start_ms) FROM counted), 300000)) AS window_start_ms)
+SELECT window_start_ms, coalesce(events, 0)::BIGINT AS events, coalesce(rate, 0.0)::DOUBLE AS rate,
+  100.0::DOUBLE - coalesce(rate, 0.0)::DOUBLE * 10.0::DOUBLE AS health
+FROM every LEFT JOIN counted USING (window_start_ms)""",
     ),
     "idle_to_busy_pct": on(
         _samples,

@@ -10,6 +10,7 @@ from downfold.plans.tables import (
     DAY,
     INTERVAL_COLUMNS,
     MESSAGES_SQL,
+    REPEATED_SQL,
     SHARD_SQL,
     TTL,
     alarms,
@@ -20,6 +21,7 @@ from downfold.plans.tables import (
     on,
     states_sql,
 )
+from downfold.sources import testtables
 
 FIRST, LAST = "2024-01-10 00:00:00", "2024-01-20 23:59:59.999"
 NODES = ["NODE_1", "NODE_2", "NODE_3"]
@@ -30,7 +32,7 @@ def _newest_end(df: DataFrame):
 
 
 def _accepted(df: DataFrame) -> DataFrame:
-    return decode.accepted_alarms(df).drop("created_at")
+    return decode.accepted_alarms(df).drop("created_at", "arrival")
 
 
 def _decoded(df: DataFrame) -> DataFrame:
@@ -132,7 +134,7 @@ QUERIES = {
         messages(),
         _decoded,
         f"""WITH {MESSAGES_SQL} SELECT event_id AS "offset", reject, CASE WHEN reject IS NULL THEN node_id END AS node_id,
-  CASE WHEN reject IS NULL THEN CASE WHEN event_id % 50 = 2 THEN 0 ELSE trap_id END END AS trap_id FROM messages""",
+  CASE WHEN reject IS NULL THEN CASE WHEN event_id % 50 IN (2, 10) THEN 0 ELSE trap_id END END AS trap_id FROM messages""",
     ),
     "reject_malformed": on(
         messages(),
@@ -177,10 +179,15 @@ FROM alarms""",
     "accepted_alarms": on(
         messages(),
         _accepted,
-        f"""WITH {MESSAGES_SQL} SELECT event_id AS id, node_id, trap_id, event_time, event_time AS event_ts_ms,
+        f"""WITH {MESSAGES_SQL} SELECT CASE WHEN event_id % 50 <> 11 THEN event_id END AS id, node_id, trap_id, event_time, event_time AS event_ts_ms,
   CASE WHEN trap_id IN (1417, 1535) THEN 'DOWN' ELSE 'UP' END AS status
 FROM messages WHERE reject IS NULL AND node_id <> ''""",
     ),
+    "downtime_intervals_from_messages": on(
+        testtables.repeated_messages,
+        lambda df: state.downtime_intervals(decode.accepted_alarms(df)),
+        f"WITH {REPEATED_SQL} SELECT {INTERVAL_COLUMNS} FROM intervals",
+    ),
     "filter_time_range": _on_intervals(
         lambda df: filters.filter_time_range(df, FIRST, LAST),
         f"""SELECT {INTERVAL_COLUMNS} FROM intervals

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from downfold.operators import decode, filters, outages, sla
 from downfold.operators.state import with_previous_state, intervals_of
 from downfold.plans.outage_queries import MEAN_SEC, PARTIALS_SQL, QUERIES as PLAIN, SLA_SQL
-from downfold.plans.tables import INTERVAL_COLUMNS, Query, alarms_sql, comparable, intervals_sql
+from downfold.plans.tables import INTERVAL_COLUMNS, REPEATED_SQL, Query, alarms_sql, comparable, intervals_sql
 from downfold.schemas import CDC_MESSAGES, NODE_INTERVALS
 from downfold.session import pin_utc, work_folder
 from downfold.sources import alarms as alarm_source, intervals as tables, testtables
@@ -74,7 +74,7 @@ def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = decode.accepted_alarms(spark.readStream.schema(CDC_MESSAGES).parquet(landed))
     writer = stream.writeStream.format("parquet").option("checkpointLocation", work_folder(spark, "checkpoint"))
     writer.trigger(**AT_ONCE).start(out).awaitTermination()
-    return comparable(spark.read.schema(stream.schema).parquet(out).drop("created_at"))
+    return comparable(spark.read.schema(stream.schema).parquet(out).drop("created_at", "arrival"))
 
 
 def _keyed_stream(spark: SparkSession, sf_dir: str, clock: str = "natural") -> DataFrame:
@@ -97,6 +97,20 @@ def _job(spark: SparkSession, sf_dir: str, clock: str = "natural") -> str:
     return root
 
 
+def _message_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job over repeated messages, run once for each of three cuts of the feed."""
+    pin_utc(spark)
+    landed, root = work_folder(spark, "messages"), work_folder(spark, "job")
+    feed = testtables.repeated_messages(spark, sf_dir)
+    last = feed.agg(F.max("offset")).first()[0] or 0
+    for cut in range(3):
+        low = last * cut // 3 if cut else -1
+        feed.where((F.col("offset") > low) & (F.col("offset") <= last * (cut + 1) // 3)).write.mode("append").parquet(landed)
+        stream = decode.accepted_alarms(spark.readStream.schema(CDC_MESSAGES).parquet(landed))
+        fold.start_interval_job(stream, root, f"{root}/checkpoint", ttl_ms=None, trigger=AT_ONCE).awaitTermination()
+    return comparable(tables.read_intervals(spark, f"{root}/intervals"))
+
+
 def _job_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(tables.read_intervals(spark, f"{_job(spark, sf_dir, 'late')}/intervals"))
 
@@ -152,6 +166,9 @@ WHERE make_timestamp(down_ms * 1000)::DATE BETWEEN DATE '2024-01-10' AND DATE '2
 WHERE down_ms BETWEEN epoch_ms(TIMESTAMP '2024-01-10 06:00:00') AND epoch_ms(TIMESTAMP '2024-01-12 18:00:00')""",
     ),
     "write_daily_states": Query(_daily_states, f"WITH {intervals_sql()}\n{PARTIALS_SQL}"),
+    "interval_job_from_messages": Query(
+        _message_job, f"WITH {REPEATED_SQL} SELECT {INTERVAL_COLUMNS} FROM intervals"
+    ),
     "accepted_alarms_stream": Query(_message_stream, PLAIN["accepted_alarms"].sql),
     "downtime_intervals_stream": Query(_keyed_stream, INTERVALS_SQL),
     "interval_job": Query(_job_intervals, f"WITH {intervals_sql('late')}\nSELECT {INTERVAL_COLUMNS} FROM intervals"),

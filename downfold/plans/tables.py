@@ -125,8 +125,22 @@ TTL = STATE_TTL_MS
 # How the change messages of an event fare, by event_id % 50.
 MESSAGES_SQL = """messages AS (
   SELECT event_id, ts, 'dbserver1.inventory.histalarms' AS topic,
-    CASE WHEN event_id % 50 IN (0, 3, 4, 5) THEN 'json_unmarshal' END AS reject,
-    CASE WHEN event_id % 50 IN (0, 1, 2, 4) THEN '' ELSE 'NODE_' || user_id END AS node_id,
+    CASE WHEN event_id % 50 IN (0, 3, 4, 5, 6, 7, 8, 9) THEN 'json_unmarshal' END AS reject,
+    CASE WHEN event_id % 50 IN (0, 1, 2, 4, 10) THEN '' ELSE 'NODE_' || user_id END AS node_id,
     CASE event_type WHEN 'error' THEN 1417 WHEN 'signup' THEN 1535 ELSE 9999 END AS trap_id,
     epoch_us(ts) // 1000 AS event_time
   FROM events)"""
+
+# Intervals folded from the repeated messages in the order of their offsets.
+REPEATED_SQL = f"""{MESSAGES_SQL},
+repeated AS (
+  SELECT node_id, trap_id IN (1417, 1535) AS down, event_time, (event_id + later) * 3 + nth AS arrival
+  FROM messages, (VALUES (0, 0), (5, 1), (30, 2)) AS again(later, nth)
+  WHERE reject IS NULL AND node_id <> ''
+    AND (later = 0 OR (later = 5 AND event_id % 7 = 0) OR (later = 30 AND event_id % 11 = 0))),
+before AS (
+  SELECT *, lag(down) OVER w AS pd, lag(event_time) OVER w AS pt
+  FROM repeated WINDOW w AS (PARTITION BY node_id ORDER BY arrival)),
+intervals AS (
+  SELECT node_id, pt AS down_ms, event_time AS up_ms, event_time - pt AS duration_ms
+  FROM before WHERE pd AND NOT down AND event_time > pt)"""

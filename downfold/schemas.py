@@ -1,7 +1,6 @@
-"""Explicit schemas; nothing in the package infers one."""
+"""Explicit schemas of the tables that come from outside."""
 
 from pyspark.sql.types import (
-    ByteType,
     DateType,
     DoubleType,
     IntegerType,
@@ -26,11 +25,12 @@ ALARMS = _struct(
     created_at=TimestampType(),
 )
 
-# trap_id is a long here so that any integer decodes; only membership matters.
+# trap_id is a long here so that any integer decodes; only membership matters. The row id is
+# text because nothing rests on it: a feed is ordered by partition and offset.
 CDC_VALUE = _struct(
     payload=_struct(
         after=_struct(
-            id=LongType(),
+            id=StringType(),
             node_id=StringType(),
             trap_id=LongType(),
             event_time=LongType(),
@@ -81,5 +81,3 @@ RULES = _struct(
     summary=StringType(),
     no_data_is=DoubleType(),
 )
-
-NODE_STATE = _struct(down=ByteType(), event_time=LongType(), ord=LongType())

@@ -57,7 +57,9 @@ def cdc_messages(spark: SparkSession, sf_dir: str, clock: str = "natural") -> Da
     """Every event as a change message; fixed shares are damaged the way real feeds are.
 
     By ``event_id % 50``: 0 truncated, 1 empty node, 2 deletion, 3 trap code as text,
-    4 blank, 5 numeric node; all others are sound.
+    4 blank, 5 numeric node, 6 single quotes, 7 text behind the document, 8 two documents,
+    9 NaN in a field nobody reads, 10 the document null, 11 a row id that is text; all
+    others are sound.
     """
     ev = events(spark, sf_dir)
     natural = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -84,6 +86,12 @@ def cdc_messages(spark: SparkSession, sf_dir: str, clock: str = "natural") -> Da
         .when(kind == 3, envelope(node, trap.cast("string")))
         .when(kind == 4, F.lit("  "))
         .when(kind == 5, envelope(F.col("user_id"), trap))
+        .when(kind == 6, F.translate(sound, '"', "'"))
+        .when(kind == 7, F.concat(sound, F.lit(" x")))
+        .when(kind == 8, F.concat(sound, sound))
+        .when(kind == 9, F.concat(F.lit('{"ts_ms":NaN,'), F.substr(sound, F.lit(2))))
+        .when(kind == 10, F.lit(" null "))
+        .when(kind == 11, F.regexp_replace(sound, '"id":([0-9]+)', '"id":"row $1"'))
         .otherwise(sound)
     )
     return ev.select(
@@ -95,6 +103,25 @@ def cdc_messages(spark: SparkSession, sf_dir: str, clock: str = "natural") -> Da
     )
 
 
+def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of two partitions, by node, in which rows come again: every seventh as an update
+    five events later, every eleventh read again thirty events later. Old ids, late offsets."""
+    messages = cdc_messages(spark, sf_dir)
+    event, later = F.col("offset"), F.col("_later")
+    again = F.array_compact(
+        F.array(F.lit(0), F.when(event % 7 == 0, 5), F.when(event % 11 == 0, 30))
+    )
+    node = F.coalesce(F.get_json_object("value", "$.payload.after.node_id"), F.lit(""))
+    place = (event + later) * 3 + F.when(later == 0, 0).when(later == 5, 1).otherwise(2)
+    return messages.withColumn("_later", F.explode(again)).select(
+        "topic",
+        F.pmod(F.crc32(node.cast("binary")), F.lit(2)).cast("int").alias("partition"),
+        place.alias("offset"),
+        "timestamp",
+        "value",
+    )
+
+
 def interval_commits(intervals: DataFrame) -> DataFrame:
     """Intervals with the times a sink flushing every two seconds would give them."""
     created = F.unix_millis("up_at")

@@ -23,7 +23,7 @@ from downfold.constants import DOWN_TRAPS, STATE_TTL_MS
 from downfold.functions.ordered import lag_in_key
 from downfold.functions.scalar import is_down, utc_day
 from downfold.operators.sla import daily_node_partials
-from downfold.operators.state import ID_SPAN, intervals_of
+from downfold.operators.state import ID_SPAN, arrival_column, intervals_of
 from downfold.schemas import NODE_INTERVALS
 from downfold.sources.intervals import write_daily_states, write_intervals
 
@@ -68,10 +68,15 @@ class OutageFold(StatefulProcessor):
 def downtime_intervals_stream(
     alarm_stream: DataFrame,
     ttl_ms: int | None = STATE_TTL_MS,
-    order: str = "id",
+    order: str | None = None,
     down_traps=DOWN_TRAPS,
 ) -> DataFrame:
-    """Streaming outage intervals; state expires by processing time when not refreshed."""
+    """Streaming outage intervals; state expires by processing time when not refreshed.
+
+    Inside a micro-batch alarms go by ``order``: the arrival of messages, the id of table
+    rows. With messages the cut into micro-batches therefore does not matter.
+    """
+    order = order or arrival_column(alarm_stream)
     slim = alarm_stream.select(
         "node_id",
         F.col(order).cast("long").alias("ord"),
@@ -128,9 +133,11 @@ def fold_batch(batch: DataFrame, state: DataFrame | None, ttl_ms: int | None, no
     """(intervals, new state) of one micro-batch of ``(node_id, id, event_time, down)`` rows.
 
     The stored state of a node takes part as an alarm before all new ones, whatever their
-    ids: it can open an outage but not close one. Inside the batch the order is by id.
+    ids: it can open an outage but not close one. Inside the batch the order is by ``ord``
+    where the batch has it, else by id.
     """
-    rows = batch.select("node_id", "id", "event_time", "down", F.lit(now_ms).alias("seen_ms"), F.col("id").alias("ord"))
+    order = F.col("ord" if "ord" in batch.columns else "id").alias("ord")
+    rows = batch.select("node_id", "id", "event_time", "down", F.lit(now_ms).alias("seen_ms"), order)
     if state is not None:
         live = state if ttl_ms is None else state.where(F.col("seen_ms") >= now_ms - ttl_ms)
         rows = rows.unionByName(live.withColumn("ord", F.lit(BEFORE_ALL)).select(rows.columns))
@@ -153,13 +160,15 @@ def start_interval_job(
 
     The state is a table with one row per node that every micro-batch rewrites into the
     other of two folders: batch N reads what batch N-1 wrote and replaces what N-2 wrote.
-    A replayed micro-batch therefore starts from the same state and writes the same output.
+    A replayed micro-batch therefore starts from the same state and replaces its output;
+    only which states have expired depends on when it runs.
     """
     slim = alarm_stream.select(
         "node_id",
         "id",
         "event_time",
         F.coalesce(is_down(F.col("trap_id"), down_traps), F.lit(False)).alias("down"),
+        F.col(arrival_column(alarm_stream)).alias("ord"),
     )
 
     def fold(batch: DataFrame, batch_id: int) -> None:

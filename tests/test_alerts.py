@@ -58,7 +58,7 @@ def test_grid_covers_rules_without_series(spark):
     out = alerts.evaluate_rules(rules, empty, span)
     assert out.count() == 3 * len(alerts.RULE_TABLE)
     got = {(r.rule, r.state) for r in out.select("rule", "state").distinct().collect()}
-    assert ("high_single_outage", "NoData") in got and ("outage_storm", "Normal") in got
+    assert ("high_single_outage", "Normal") in got and ("consumer_lag", "NoData") in got and ("outage_storm", "Normal") in got
 
 
 def test_grid_days(spark):
@@ -136,3 +136,24 @@ def test_all_rules_have_series(spark):
     wide = testtables.cdc_messages(spark, sf_dir, "fast")
     series = alerts.rule_series(changes, commits, table, wide, span)
     assert {r[0] for r in series.select("rule").distinct().collect()} == {r[0] for r in alerts.RULE_TABLE}
+
+
+def test_steps_that_do_not_divide_the_window_are_refused(spark):
+    for step in (0, -60_000, 420_000, 600_000):
+        with pytest.raises(ValueError):
+            alerts.checked_step(step)
+    assert alerts.checked_step(150_000) == 150_000
+
+
+def test_reduce_last_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "samples")
+    spark.range(5).selectExpr("timestamp_seconds(id) AS ts", "cast(id AS double) AS value").write.parquet(path)
+    last = alerts.reduce_last(spark.read.parquet(path), F.timestamp_seconds(F.lit(3)), 2)
+    assert [tuple(r) for r in last.collect()] == [(3.0,)]
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThanOrEqual(t" in plan
+
+
+def test_a_healthy_fleet_has_data():
+    empty = {rule[0]: rule[-1] for rule in alerts.RULE_TABLE}
+    assert empty["high_single_outage"] == empty["node_flapping"] == 0.0

@@ -33,6 +33,12 @@ REJECTED = {
     "numeric node": after(**{**SOUND, "node_id": 5}),
     "boolean node": after(**{**SOUND, "node_id": True}),
     "object node": after(**{**SOUND, "node_id": {"a": 1}}),
+    "single quotes": after(**SOUND).replace('"', "'"),
+    "text behind": after(**SOUND) + " x",
+    "brace behind": after(**SOUND) + "}",
+    "two documents": after(**SOUND) + after(**SOUND),
+    "two with a comma": after(**SOUND) + "," + after(**SOUND),
+    "NaN nobody reads": '{"ts_ms":NaN,' + after(**SOUND)[1:],
 }
 
 SKIPPED = {
@@ -41,6 +47,7 @@ SKIPPED = {
     "null node": after(**{**SOUND, "node_id": None}),
     "deletion": '{"payload":{"after":null,"op":"d"}}',
     "no payload": "{}",
+    "null document": " null ",
 }
 
 ACCEPTED = {
@@ -50,6 +57,9 @@ ACCEPTED = {
     "null trap": (after(node_id="N", trap_id=None, event_time=1), ("N", 0, 1)),
     "no time": (after(node_id="N", trap_id=9999), ("N", 9999, 0)),
     "large trap": (after(node_id="N", trap_id=3_000_000_000, event_time=1), ("N", 3_000_000_000, 1)),
+    "row id as text": (after(**{**SOUND, "id": "seven"}), ("NODE_1", 1417, 5000)),
+    "row id as fraction": (after(**{**SOUND, "id": 7.5}), ("NODE_1", 1417, 5000)),
+    "blanks around": (" \n" + after(**SOUND) + "\t", ("NODE_1", 1417, 5000)),
     "digits as text": (after(node_id="15", trap_id=1, event_time=1), ("15", 1, 1)),
     "word true as text": (after(node_id="true", trap_id=1, event_time=1), ("true", 1, 1)),
     "other fields": (json.dumps({"schema": {"x": 1}, "payload": {"after": {**SOUND, "more": [1]}}}), ("NODE_1", 1417, 5000)),

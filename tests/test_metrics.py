@@ -145,4 +145,11 @@ def test_domain_metrics(spark):
     assert got[("node_state_transitions_total", (("from_state", "UP"), node, ("to_state", "DOWN")))] == 1.0
     assert got[("node_state_transitions_total", (("from_state", "DOWN"), node, ("to_state", "UP")))] == 2.0
     counted = {m: v for (m, _), v in got.items() if m in ("messages_total", "errors_total", "messages_skipped_total")}
-    assert counted == {"messages_total": 880.0, "errors_total": 80.0, "messages_skipped_total": 40.0}
+    assert counted == {"messages_total": 780.0, "errors_total": 160.0, "messages_skipped_total": 60.0}
+
+
+def test_health_shows_quiet_windows(spark):
+    errors = spark.sql("SELECT timestamp_seconds(s) AS ts FROM VALUES (0), (900) AS t(s)")
+    scored = metrics.health_score(metrics.event_rate(errors, "ts", 300, fill=True))
+    got = sorted((r.window_start.timestamp(), r.events, round(r.health, 3)) for r in scored.collect())
+    assert [g[1:] for g in got] == [(1, 99.967), (0, 100.0), (0, 100.0), (1, 99.967)]

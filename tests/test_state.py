@@ -143,3 +143,20 @@ def test_measured_span(spark):
     assert measured_span(even.where("id < 0"), "id") == 1
     slices = even.select(F.expr("id div 999").alias("s")).groupBy("s").count()
     assert slices.agg(F.max("count")).first()[0] <= 101
+
+
+def test_documents_and_bounds_do_not_follow_the_session_zone(spark):
+    from downfold.operators import filters
+
+    df = alarms(spark, [("A", 1417, 0)])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    found = []
+    for name in ("UTC", "Asia/Tokyo", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", name)
+        try:
+            document = state.state_documents(state.latest_node_state(df)).first().value
+            early = filters.filter_recent(df.selectExpr("timestamp_millis(event_time) AS down_at"), "1970-01-01 00:05:00", "5 MINUTES")
+            found.append((document, early.count()))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found == [('{"status":"DOWN","last_seen_at":"1970-01-01T00:00:00Z"}', 1)] * 3

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from downfold.operators import decode, sla, state
+from downfold.schemas import CDC_MESSAGES
 from downfold.session import work_folder
 from downfold.sources import alarms as alarm_source, intervals as tables, testtables
 from downfold.streaming import fold, rollup
@@ -145,3 +146,32 @@ def test_messages_to_report(spark):
     report = sla.node_sla_report(tables.read_daily_states(spark, f"{root}/daily"))
     expected = sla.node_sla_report(sla.daily_node_partials(batch))
     assert sorted(map(tuple, report.collect())) == sorted(map(tuple, expected.collect()))
+
+
+@pytest.mark.parametrize("cuts", [[4], [3, 1], [1, 1, 1, 1], [2, 2]])
+def test_feed_is_folded_in_arrival_order(spark, cuts):
+    """A row sent again closes an outage though its id is older, however the feed is cut."""
+    feed = [(10, 1417, 1000), (11, 9999, 5000), (12, 1417, 8000), (10, 9999, 9000)]
+    rows = [
+        ("t", 0, n, None, '{"payload":{"after":{"id":%d,"node_id":"A","trap_id":%d,"event_time":%d}}}' % message)
+        for n, message in enumerate(feed, 1)
+    ]
+    expected = [("A", 1, 5, 4), ("A", 8, 9, 1)]
+    whole = decode.accepted_alarms(spark.createDataFrame(rows, CDC_MESSAGES))
+    assert seconds(state.downtime_intervals(whole)) == expected
+    last = state.latest_node_state(whole).first()
+    assert (last.status, last.id) == ("UP", 10)
+
+    landed, root, out, cp = (work_folder(spark, n) for n in ("messages", "root", "out", "cp"))
+    at = 0
+    for size in cuts:
+        spark.createDataFrame(rows[at : at + size], CDC_MESSAGES).coalesce(1).write.mode("append").parquet(landed)
+        at += size
+        stream = spark.readStream.schema(CDC_MESSAGES).parquet(landed)
+        job = fold.start_interval_job(decode.accepted_alarms(stream), root, f"{root}/cp", ttl_ms=None, trigger=ONCE)
+        assert job.awaitTermination(120)
+        keyed = fold.downtime_intervals_stream(decode.accepted_alarms(stream), ttl_ms=None)
+        with fold.stateful_settings(spark):
+            assert rollup.start_interval_sink(keyed, out, cp, ONCE).awaitTermination(120)
+    assert seconds(tables.read_intervals(spark, f"{root}/intervals")) == expected
+    assert seconds(tables.read_intervals(spark, out)) == expected
