@@ -7,6 +7,7 @@ encoded alone, and the pieces' ids remembered.
 
 import json
 import re
+import struct
 from collections.abc import Callable
 
 import numpy as np
@@ -15,10 +16,9 @@ from tokenizers import Tokenizer
 #: Pieces remembered by a task's Python worker, about 100 MB.
 PIECES_KEPT = 500_000
 
-_BLANK_RUN = re.compile(r"\s ")
+_BLANK_RUN = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= )")
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN = re.compile(f"([{_LETTERS}]+)([.,!?;:$%&*#|()]*)")
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:$%&*#|()]*)")
 
 
 def _byte_characters() -> dict[int, str]:
@@ -28,17 +28,17 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in prints} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
 
-class _Pieces(dict):
-    """Ids, as bytes, of a space and the key."""
+class _Remembered(dict):
+    """What ``encode`` gives for a key."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
         self.encode = encode
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, key: str) -> bytes:
         if len(self) >= PIECES_KEPT:
             self.clear()
-        self[word] = ids = self.encode(word)
+        self[key] = ids = self.encode(key)
         return ids
 
 
@@ -51,6 +51,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
+        self.letter = "H" if self.size <= 1 << 16 else "I"
         before = form.get("pre_tokenizer") or {}
         self.by_pieces = (
             not form.get("normalizer")
@@ -60,37 +61,54 @@ class Encoder:
             and form["model"]["type"] == "BPE"
         )
         self.added = [t["content"] for t in form.get("added_tokens", [])]
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.characters = _byte_characters()
-        self.pieces = _Pieces(self._piece)
+        self.space = self.characters[0x20]
+        #: Ids of a space and the key, of the key at the start of a line, and of marks behind a word.
+        self.pieces = _Remembered(self._piece)
+        self.heads = _Remembered(self._head)
+        self.marks = _Remembered(self._word)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
 
     def _whole(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> list[int]:
-        """Ids of what the tokenizer takes as one word."""
-        return [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.characters))]
+    def _word(self, word: str, before: str = "") -> bytes:
+        """Ids of what the tokenizer takes as one word, with the character of a space before it or none."""
+        shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.characters)
+        return self._packed([t.id for t in self.tokenize(before + shown)])
 
     def _piece(self, word: str) -> bytes:
-        if plain := _PLAIN.fullmatch(word):
-            letters, marks = plain.groups()
-            return self._packed(self._word(" " + letters) + (self._word(marks) if marks else []))
-        return self._whole(" " + word)
+        plain = _PLAIN.fullmatch(word)
+        if not plain:
+            return self._whole(" " + word)
+        letters, marks = plain.groups()
+        return self.pieces[letters] + self.marks[marks] if marks else self._word(letters, self.space)
+
+    def _head(self, word: str) -> bytes:
+        plain = _PLAIN.fullmatch(word)
+        if not plain:
+            return self._whole(word) if word else b""
+        letters, marks = plain.groups()
+        return self._word(letters) + (self.marks[marks] if marks else b"")
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.dtype)
         if not self.by_pieces or any(t in text for t in self.added):
-            return np.frombuffer(self._whole(text), self.dtype)
-        if _BLANK_RUN.search(text):
+            packed = self._whole(text)
+        elif _BLANK_RUN.search(text):
             first, *rest = _CUT.split(text)
-            words = [piece[1:] for piece in rest]
+            packed = self._whole(first) + b"".join([self.pieces[piece[1:]] for piece in rest])
         else:
-            first, *words = text.split(" ")
-        packed = (self._whole(first) if first else b"") + b"".join(map(self.pieces.__getitem__, words))
+            # all blanks stand alone, so a line break is a word of its own and starts the next line afresh
+            lines = []
+            for line in text.split("\n"):
+                first, *words = line.split(" ")
+                lines.append(self.heads[first] + b"".join(map(self.pieces.__getitem__, words)))
+            packed = self.heads["\n"].join(lines)
         return np.frombuffer(packed, self.dtype)
 
 
