@@ -174,10 +174,13 @@ FROM k LEFT JOIN r USING (key) GROUP BY doc_id
 """
 
 def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target is the documents labelled as of good quality, the background all documents."""
+    """The target is the documents labelled as of good quality, the background all documents.
+
+    Labels grow with the documents, so they are joined by a sort and never broadcast.
+    """
     docs = read_table(spark, sf_dir, "documents")
     good = read_table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
-    return lm_scoring.cross_entropy_difference(docs, docs.join(good, "doc_id", "left_semi"))
+    return lm_scoring.cross_entropy_difference(docs, docs.join(good.hint("merge"), "doc_id", "left_semi"))
 
 
 QUERIES = {
