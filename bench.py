@@ -18,6 +18,7 @@ from downfold.plans.catalog import QUERIES
 
 HEADLINE = (
     "accepted_alarms decode_errors downtime_intervals downtime_intervals_ttl latest_node_state "
+    "downtime_intervals_sliced downtime_intervals_from_messages "
     "state_transitions active_down_nodes active_down_series state_misses node_flaps shard_balance "
     "total_outages affected_nodes uptime_pct_by_node outages_over_time top_nodes_downtime "
     "duration_histogram hourly_pattern recent_outages max_outages_per_node daily_node_partials "

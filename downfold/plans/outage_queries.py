@@ -24,6 +24,8 @@ from downfold.plans.tables import (
 from downfold.sources import testtables
 
 FIRST, LAST = "2024-01-10 00:00:00", "2024-01-20 23:59:59.999"
+#: A slice short enough that small tables have many, so that the plan for large ones is what runs.
+FEW_IDS = 64
 NODES = ["NODE_1", "NODE_2", "NODE_3"]
 
 
@@ -222,6 +224,11 @@ WHERE down_ms BETWEEN epoch_ms(TIMESTAMP '{FIRST}') AND epoch_ms(TIMESTAMP '{LAS
         lambda df: df,
         f"WITH {intervals_sql(ttl_ms=TTL)}\nSELECT {INTERVAL_COLUMNS} FROM intervals",
     ),
+    "downtime_intervals_sliced": on(
+        intervals(span=FEW_IDS),
+        lambda df: df,
+        f"WITH {intervals_sql()}\nSELECT {INTERVAL_COLUMNS} FROM intervals",
+    ),
     "downtime_intervals_by_event_time": on(
         alarms("late"),
         lambda df: state.intervals_of(state.by_event_time(df, measured_span(df, "event_time"))),
@@ -245,6 +252,11 @@ SELECT 'node:' || node_id AS key, '{{"status":"' || CASE WHEN trap IN (1417, 153
 FROM latest""",
     ),
     "state_transitions": on(alarms(), state.state_transitions, f"WITH {states_sql()}\n{TRANSITIONS_SQL}"),
+    "state_transitions_sliced": on(
+        alarms(),
+        lambda df: state.state_transitions(df, span=FEW_IDS),
+        f"WITH {states_sql()}\n{TRANSITIONS_SQL}",
+    ),
     "state_transitions_late": on(
         alarms("late"), state.state_transitions, f"WITH {states_sql('late')}\n{TRANSITIONS_SQL}"
     ),
@@ -263,6 +275,13 @@ FROM latest""",
         state.active_down_series,
         f"""WITH {states_sql()},
 steps AS (SELECT ((event_time + 59999) // 60000) * 60000 AS time_ms, sum({DELTA}) AS d FROM states GROUP BY 1)
+SELECT time_ms, (sum(d) OVER (ORDER BY time_ms))::BIGINT AS active_down FROM steps""",
+    ),
+    "active_down_series_sliced": on(
+        alarms(),
+        lambda df: state.active_down_series(df, span=FEW_IDS),
+        f"""WITH {states_sql()},
+steps AS (SELECT ((event_time + 59999) // 60000) * 60000 AS time_ms, sum({DELTA}) AS d FROM states GROUP BY 1)
 SELECT time_ms, (sum(d) OVER (ORDER BY time_ms))::BIGINT AS active_down FROM steps""",
     ),
     "state_misses": on(
