@@ -1,6 +1,7 @@
 """Explicit schemas of the tables that come from outside."""
 
 from pyspark.sql.types import (
+    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
@@ -64,6 +65,16 @@ DAILY_PARTIALS = _struct(
     incidents=LongType(),
 )
 
+# Node state of the interval job; seen_ms is the time of the micro-batch that last refreshed a node.
+JOB_STATE = _struct(
+    node_id=StringType(),
+    id=LongType(),
+    event_time=LongType(),
+    down=BooleanType(),
+    seen_ms=LongType(),
+    batch=LongType(),
+)
+
 SAMPLES = _struct(
     ts=TimestampType(),
     metric=StringType(),

@@ -16,6 +16,7 @@ from contextlib import contextmanager
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -24,7 +25,7 @@ from downfold.functions.ordered import lag_in_key
 from downfold.functions.scalar import is_down, utc_day
 from downfold.operators.sla import daily_node_partials
 from downfold.operators.state import ID_SPAN, arrival_column, intervals_of
-from downfold.schemas import NODE_INTERVALS
+from downfold.schemas import JOB_STATE, NODE_INTERVALS
 from downfold.sources.intervals import write_daily_states, write_intervals
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -148,6 +149,24 @@ def fold_batch(batch: DataFrame, state: DataFrame | None, ttl_ms: int | None, no
     return intervals_of(seen), last
 
 
+def _state_slot(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
+    """State that micro-batch ``batch_id`` wrote, if it got that far."""
+    try:
+        slot = spark.read.schema(JOB_STATE).parquet(f"{root}/state/slot={batch_id % 2}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return slot.where(F.col("batch") == batch_id)
+
+
+def batch_time(spark: SparkSession, root: str, batch_id: int) -> int:
+    """Processing time of a micro-batch in epoch ms: the one its state holds if this is a replay, else now."""
+    before = _state_slot(spark, root, batch_id)
+    kept = before.agg(F.max("seen_ms")).first()[0] if before is not None else None
+    return kept if kept is not None else spark.range(1).select(F.unix_millis(F.current_timestamp())).first()[0]
+
+
 def start_interval_job(
     alarm_stream: DataFrame,
     root: str,
@@ -160,8 +179,8 @@ def start_interval_job(
 
     The state is a table with one row per node that every micro-batch rewrites into the
     other of two folders: batch N reads what batch N-1 wrote and replaces what N-2 wrote.
-    A replayed micro-batch therefore starts from the same state and replaces its output;
-    only which states have expired depends on when it runs.
+    A replayed micro-batch therefore starts from the same state, takes the time its first
+    run left with its state, and writes the same output.
     """
     slim = alarm_stream.select(
         "node_id",
@@ -173,8 +192,8 @@ def start_interval_job(
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        now_ms = spark.range(1).select(F.unix_millis(F.current_timestamp())).first()[0]
-        state = spark.read.parquet(f"{root}/state/slot={(batch_id - 1) % 2}") if batch_id else None
+        now_ms = batch_time(spark, root, batch_id)
+        state = _state_slot(spark, root, batch_id - 1) if batch_id else None
         batch.persist()
         try:
             intervals, last = fold_batch(batch, state, ttl_ms, now_ms)
@@ -192,7 +211,7 @@ def start_interval_job(
 
 def read_node_state(spark: SparkSession, root: str) -> DataFrame:
     """The newest node state a job wrote, as ``latest_node_state`` gives it."""
-    state = spark.read.parquet(f"{root}/state")
+    state = spark.read.schema(JOB_STATE).parquet(f"{root}/state")
     newest = state.agg(F.max("batch")).scalar()
     return state.where(F.col("batch") == newest).select(
         "node_id",

@@ -93,6 +93,17 @@ def test_state_expires_in_the_job(spark):
     assert fold.fold_batch(closing, after, 1000, 6001)[0].count() == 0
 
 
+def test_replay_takes_the_time_of_the_first_run(spark):
+    root = work_folder(spark, "root")
+    before = fold.batch_time(spark, root, 0)
+    assert before > 1_600_000_000_000
+    _, last = fold.fold_batch(slim(alarms(spark, parse("D@0"))), None, 1000, 5000)
+    last.withColumn("batch", F.lit(0).cast("long")).write.parquet(f"{root}/state/slot=0")
+    assert fold.batch_time(spark, root, 0) == 5000
+    assert fold.batch_time(spark, root, 1) >= before
+    assert fold.batch_time(spark, root, 2) >= before
+
+
 def test_replayed_batch_does_not_double(spark):
     df = intervals(spark, [("A", 0, 5), ("B", 90_000, 90_007)])
     path, daily = work_folder(spark, "i"), work_folder(spark, "d")
