@@ -132,8 +132,8 @@ def test_day_pruning_does_not_follow_the_session_zone(spark):
     df = intervals(spark, rows)
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
-        ranged = filters.filter_time_range(df, "2024-01-02 08:30:00", "2024-01-02 08:40:00").count()
-        recent = filters.filter_recent(df, "2024-01-02 08:35:00", "5 MINUTES").count()
+        ranged = filters.filter_time_range(df, "2024-01-02 08:30:00+09:00", "2024-01-01 23:40:00").count()
+        recent = filters.filter_recent(df, "2024-01-02 08:35:00+09:00", "5 MINUTES").count()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert (ranged, recent) == (1, 1)
