@@ -180,7 +180,7 @@ def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = read_table(spark, sf_dir, "documents")
     good = read_table(spark, sf_dir, "labels").filter(F.col("quality") == 1).select("doc_id")
-    return lm_scoring.cross_entropy_difference(docs, docs.join(good.hint("merge"), "doc_id", "left_semi"))
+    return lm_scoring.difference_to_marked(docs, good)
 
 
 QUERIES = {

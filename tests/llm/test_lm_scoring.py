@@ -64,6 +64,30 @@ def test_equals_brute_force(spark, size):
         assert score == pytest.approx(want[1] - want[2], abs=2e-5)
 
 
+def test_every_word_is_told_apart(spark):
+    """Over 2,046 words, all of one count: none may be taken for another."""
+    given = [(d, " ".join(f"w{(37 * d + 11 * k) % 2600}" for k in range(100))) for d in range(60)] + [(60, None), (None, "w1 w1 w2")]
+    target = given[::4]
+    expected = brute(given, target, None)
+    got = lm_scoring.cross_entropy_difference(documents(spark, given, extra=True), documents(spark, target)).collect()
+    assert len(got) == len(given)
+    for r in got:
+        assert r.n_words == expected[r.doc_id][0]
+        if r.n_words:
+            assert (r.ce_target, r.ce_background) == pytest.approx(expected[r.doc_id][1:], abs=1e-9)
+
+
+def test_marked_documents_are_the_target(spark):
+    """Texts dealt over many pieces, the target by its ids: the same scores as by its rows."""
+    docs = table(spark, "0.001", "documents").limit(40).localCheckpoint().repartition(7)
+    ids = spark.createDataFrame([(d,) for d in range(0, 400, 3)] + [(None,)], "doc_id long")
+    marked = {r.doc_id: r for r in lm_scoring.difference_to_marked(docs, ids).collect()}
+    joined = lm_scoring.cross_entropy_difference(docs, docs.join(ids, "doc_id", "left_semi")).collect()
+    assert len(marked) == len(joined) == 40
+    for r in joined:
+        assert tuple(marked[r.doc_id]) == pytest.approx(tuple(r), abs=1e-9)
+
+
 def test_empty_tables(spark):
     none, some = documents(spark, []), documents(spark, [(1, "a b"), (1, "a b")])
     assert rows(lm_scoring.cross_entropy_difference(none, some)) == []
