@@ -324,7 +324,8 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
 def one_per_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, that head their group: smallest doc_id, null last.
 
-    Rows without a set stay. Rows that agree in doc_id and text count as one.
+    Rows without a set all stay. Of rows with one that agree in doc_id and text one stays, the
+    same in every run: the least by a hash of the other columns.
     """
     placed = group_rows(docs, size, percent)
     grouped = placed.filter(F.col("component").isNotNull())
@@ -333,6 +334,12 @@ def one_per_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     gone = grouped.join(heads, "component").filter(name != F.col("head")).select("doc_id", "t1", "t2").distinct()
     gone = written(gone, "gone").select(F.col("doc_id").alias("g0"), F.col("t1").alias("g1"), F.col("t2").alias("g2"))
     t1, t2 = md5_halves(F.col("text"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", t1, t2)
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
+    has_set = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    lone = F.when(~has_set, F.monotonically_increasing_id())
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", t1, t2, F.xxhash64(others).alias("order"), lone.alias("lone")
+    )
     same = (F.col("t1") == F.col("g1")) & (F.col("t2") == F.col("g2")) & F.col("doc_id").eqNullSafe(F.col("g0"))
-    return whole.join(gone, same, "left_anti").dropDuplicates(["t1", "t2", "doc_id"]).select("whole.*")
+    kept = whole.join(gone, same, "left_anti").groupBy("t1", "t2", "doc_id", "lone")
+    return kept.agg(F.min_by("whole", "order").alias("whole")).select("whole.*")

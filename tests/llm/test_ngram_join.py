@@ -95,3 +95,14 @@ def test_one_per_group(spark):
     ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
     assert ids == sorted({d for d, (n, head) in heads.items() if d is not None and (not n or d == head)})
     assert sum(r.doc_id is None for r in kept.collect()) == 1
+
+
+def test_rows_without_a_set_all_stay(spark):
+    blank = [(None, None, "a"), (None, None, "a"), (None, "", "b"), (None, " \n", "c"), (4, "", "a"), (4, "", "b")]
+    again = [(7, "one two three four five six", source) for source in "pqrs"]
+    docs = documents(spark, blank + again)
+    kept = ngram_join.one_per_group(docs)
+    without = sorted((r.doc_id or 0, r.text or "", r.source) for r in kept.collect() if r.doc_id != 7)
+    assert without == sorted((d or 0, t or "", s) for d, t, s in blank)
+    chosen = [ngram_join.one_per_group(documents(spark, order).coalesce(1)).collect() for order in (again, again[::-1])]
+    assert len(chosen[0]) == 1 and chosen[0] == chosen[1]
