@@ -5,7 +5,8 @@ import string
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from downfold.llm import decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, ngram_join, pii, token_counts, toxicity, wavelet
+from downfold.llm import decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, ngram_join, periodic_runs, pii
+from downfold.llm import token_counts, toxicity, wavelet
 from downfold.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -183,6 +184,30 @@ def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.difference_to_marked(docs, good)
 
 
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) where a tenth of the texts, chosen by the checksum h of doc_id, end in a loop.
+
+    With g = h / 10 and n words, words from a = g % n on repeat the first p of them, p being
+    1 + (n - a) / (3 + g % 8); words are then joined by one space. Others stay as they are,
+    also texts without a word or a doc_id.
+    """
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    rows = rows.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("g", F.expr("h div 10"))
+    rows = rows.withColumn("n", F.when(F.size("words") > 0, F.size("words").cast("long")))
+    rows = rows.withColumn("a", F.expr("g % n")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    loop = F.expr(
+        "slice(concat(slice(words, 1, int(a)), flatten(array_repeat(slice(words, int(a) + 1, int(p)),"
+        " int((n - a) div p + 1)))), 1, int(n))"
+    )
+    text = F.when(F.col("n").isNotNull(), F.array_join(loop, " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
+def op11_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(with_repeated_tails(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_length_histogram": (op1_length_histogram, None),
     "op2_pareto_mix": (op2_pareto_mix, OP2_SQL),
@@ -194,4 +219,5 @@ QUERIES = {
     "op8_block_naming": (op8_block_naming, OP8_SQL),
     "op9_line_bitmaps": (op9_line_bitmaps, OP9_SQL),
     "op10_cross_entropy": (op10_cross_entropy, None),
+    "op11_synchronising_runs": (op11_synchronising_runs, None),
 }
