@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from downfold.llm import decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, ngram_join, periodic_runs, pii
-from downfold.llm import token_counts, toxicity, wavelet
+from downfold.llm import token_counts, toxicity, url_filter, wavelet
 from downfold.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -208,6 +208,73 @@ def op11_synchronising_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(with_repeated_tails(read_table(spark, sf_dir, "documents")))
 
 
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op12_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _url_level(order: int) -> str:
+    """Smoothed probabilities of both kinds after ``order`` characters."""
+    below = "1.0::DOUBLE / 256" if order == 0 else None
+    some = ", ".join(
+        f"CASE WHEN sum({c}) OVER w > 0 THEN ({c} + (count(*) FILTER ({c} > 0) OVER w) * {below or 'q.less_' + c})::DOUBLE"
+        f" / (sum({c}) OVER w + count(*) FILTER ({c} > 0) OVER w) ELSE {below or 'q.less_' + c} END AS less_{c}"
+        for c in "ab"
+    )
+    joined = "" if order == 0 else f" JOIN p{order - 1} q ON substr(c{order}.piece, 2) = q.piece"
+    return f"p{order} AS (SELECT c{order}.piece, {some} FROM c{order}{joined} WINDOW w AS (PARTITION BY left(c{order}.piece, {order})))"
+
+
+OP12_SQL = rf"""
+WITH u AS (
+  SELECT page_id, coalesce(url, '') AS url, row_number() OVER () AS r,
+    strpos(coalesce(url, ''), '://') AS cut FROM pages),
+h AS (
+  SELECT *, translate(CASE WHEN cut > 0 THEN regexp_extract(substr(url, cut + 3), '^[^/?#]*') ELSE '' END, '{UP}', '{LOW}') AS host,
+    CASE WHEN cut > 0 THEN regexp_extract(substr(url, cut + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM u),
+rules(verdict, rule, name, rest) AS (VALUES
+  ('allow', 'com/', 'com', '/'), ('block', 'example.com/en/', 'example.com', '/en/'),
+  ('allow', 'www.example.com/en/', 'www.example.com', '/en/'), ('block', 'net/es/', 'net', '/es/'),
+  ('block', 'net/fr/', 'net', '/fr/')),
+d AS (
+  SELECT r, page_id, url, host, path, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS ruled,
+    ('0x' || substr(md5(url), 1, 8))::BIGINT % 5 = 0 AS held
+  FROM h LEFT JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, rest)
+  GROUP BY r, page_id, url, host, path),
+e AS (
+  SELECT r, ruled, held, substr(repeat(chr(2), 4) || translate(url, '123456789', '000000000') || chr(3), i, 5) AS piece
+  FROM (SELECT *, unnest(generate_series(1, length(url) + 1)) AS i FROM d)),
+c4 AS (
+  SELECT piece, count(*) FILTER (ruled = 'allow' AND NOT held) AS a, count(*) FILTER (ruled = 'block' AND NOT held) AS b
+  FROM e GROUP BY piece),
+{"".join(f"c{k} AS (SELECT substr(piece, 2) AS piece, sum(a) AS a, sum(b) AS b FROM c{k + 1} GROUP BY 1), " for k in (3, 2, 1, 0))}
+{", ".join(map(_url_level, range(5)))},
+w AS (SELECT piece, floor((ln(less_a) - ln(less_b)) * 1048576 + 0.5)::BIGINT AS ratio FROM p4),
+s AS (
+  SELECT r, greatest(-2000, least(2000, floor(sum(ratio)::DOUBLE * 100.0 / (count(*) * 1048576.0::DOUBLE))))::INT AS bin
+  FROM e JOIN w USING (piece) WHERE ruled IS NULL OR held GROUP BY r),
+b AS (
+  SELECT bin, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b
+  FROM d JOIN s USING (r) WHERE held AND ruled IS NOT NULL GROUP BY bin),
+k AS (
+  SELECT bin, (sum(a) OVER () - (sum(a) OVER o - a)) * (sum(b) OVER ()) + (sum(b) OVER o - b) * (sum(a) OVER ()) AS right_,
+    sum(a) OVER () * sum(b) OVER () AS both_ FROM b WINDOW o AS (ORDER BY bin)),
+t AS (SELECT coalesce((SELECT bin FROM k WHERE both_ > 0 ORDER BY right_ DESC, abs(bin), bin LIMIT 1), 0) AS least_)
+SELECT page_id, host, path, rule,
+  coalesce(ruled, CASE WHEN bin >= (SELECT least_ FROM t) THEN 'allow' ELSE 'block' END) AS verdict
+FROM d LEFT JOIN s USING (r)
+"""
+
+
 QUERIES = {
     "op1_length_histogram": (op1_length_histogram, None),
     "op2_pareto_mix": (op2_pareto_mix, OP2_SQL),
@@ -220,4 +287,5 @@ QUERIES = {
     "op9_line_bitmaps": (op9_line_bitmaps, OP9_SQL),
     "op10_cross_entropy": (op10_cross_entropy, None),
     "op11_synchronising_runs": (op11_synchronising_runs, None),
+    "op12_url_models": (op12_url_models, OP12_SQL),
 }
