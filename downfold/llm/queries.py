@@ -266,9 +266,9 @@ b AS (
   SELECT bin, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b
   FROM d JOIN s USING (r) WHERE held AND ruled IS NOT NULL GROUP BY bin),
 k AS (
-  SELECT bin, (sum(a) OVER () - (sum(a) OVER o - a)) * (sum(b) OVER ()) + (sum(b) OVER o - b) * (sum(a) OVER ()) AS right_,
+  SELECT bin, bin - (bin - coalesce(lag(bin) OVER o, bin)) // 2 AS least_, (sum(a) OVER () - (sum(a) OVER o - a)) * (sum(b) OVER ()) + (sum(b) OVER o - b) * (sum(a) OVER ()) AS right_,
     sum(a) OVER () * sum(b) OVER () AS both_ FROM b WINDOW o AS (ORDER BY bin)),
-t AS (SELECT coalesce((SELECT bin FROM k WHERE both_ > 0 ORDER BY right_ DESC, abs(bin), bin LIMIT 1), 0) AS least_)
+t AS (SELECT coalesce((SELECT least_ FROM k WHERE both_ > 0 ORDER BY right_ DESC, abs(bin), bin LIMIT 1), 0) AS least_)
 SELECT page_id, host, path, rule,
   coalesce(ruled, CASE WHEN bin >= (SELECT least_ FROM t) THEN 'allow' ELSE 'block' END) AS verdict
 FROM d LEFT JOIN s USING (r)

@@ -116,8 +116,9 @@ def _scored(rows: DataFrame, ratios: DataFrame) -> DataFrame:
 def least_allowed(examples: DataFrame) -> int:
     """The bin from which to allow: most right verdicts on ``examples`` (bin, verdict), either kind counting as one half.
 
-    Of equally good bins that nearest to 0, then the lower; 0 without examples of both kinds.
-    The table of bins has 2 * FARTHEST + 1 rows at most.
+    Of equally good bins with examples that nearest to 0, then the lower; the least score
+    allowed is half way down from there to the next bin with examples. It is 0 without
+    examples of both kinds. The table of bins has 2 * FARTHEST + 1 rows at most.
     """
     either = [F.count_if(F.col("verdict") == kind).alias(name) for kind, name in (("allow", "a"), ("block", "b"))]
     bins = examples.groupBy("bin").agg(*either)
@@ -126,9 +127,11 @@ def least_allowed(examples: DataFrame) -> int:
     lost = F.coalesce(F.sum("a").over(before), F.lit(0))
     caught = F.coalesce(F.sum("b").over(before), F.lit(0))
     all_a, all_b = F.sum("a").over(all_rows), F.sum("b").over(all_rows)
-    ranked = bins.select("bin", ((all_a - lost) * all_b + caught * all_a).alias("right"), (all_a * all_b).alias("both"))
+    half = F.expr("(bin - coalesce(below, bin)) div 2")
+    ranked = bins.withColumn("below", F.lag("bin").over(Window.orderBy("bin")))
+    ranked = ranked.select("bin", (F.col("bin") - half).alias("least"), ((all_a - lost) * all_b + caught * all_a).alias("right"), (all_a * all_b).alias("both"))
     best = ranked.filter(F.col("both") > 0).orderBy(F.desc("right"), F.abs("bin"), "bin").first()
-    return best["bin"] if best else 0
+    return best["least"] if best else 0
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], url: str = "url", key: str = "page_id") -> DataFrame:

@@ -64,6 +64,7 @@ def brute(urls):
     cuts = sorted({b for b, _ in examples}) if good and bad else []
     right = lambda c: sum(v == "allow" and b >= c for b, v in examples) * bad + sum(v == "block" and b < c for b, v in examples) * good
     least = min(cuts, key=lambda c: (-right(c), abs(c), c), default=0)
+    least -= (least - max((c for c in cuts if c < least), default=least)) // 2
     return [(h, p, r, v or ("allow" if b >= least else "block")) for (h, p, r, v), b in zip(known, bins)]
 
 
