@@ -5,8 +5,8 @@ import string
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from downfold.llm import decontaminate, exact_dedup, line_dedup, lm_scoring, mixing, ngram_join, periodic_runs, pii
-from downfold.llm import token_counts, toxicity, url_filter, wavelet
+from downfold.llm import decontaminate, exact_dedup, hard_negatives, line_dedup, lm_scoring, mixing, ngram_join, periodic_runs
+from downfold.llm import pii, token_counts, toxicity, url_filter, wavelet
 from downfold.llm.common import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -275,6 +275,35 @@ FROM d LEFT JOIN s USING (r)
 """
 
 
+def op13_hilbert_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are rows whose vec_id is divisible by 50; labels of every seventh row are moved on by one."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    rows = rows.filter(finite).select(F.col("vec_id").alias("id"), label.alias("label"), vector.alias("vector"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 50 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
 QUERIES = {
     "op1_length_histogram": (op1_length_histogram, None),
     "op2_pareto_mix": (op2_pareto_mix, OP2_SQL),
@@ -288,4 +317,5 @@ QUERIES = {
     "op10_cross_entropy": (op10_cross_entropy, None),
     "op11_synchronising_runs": (op11_synchronising_runs, None),
     "op12_url_models": (op12_url_models, OP12_SQL),
+    "op13_hilbert_negatives": (op13_hilbert_negatives, OP13_SQL),
 }
