@@ -140,11 +140,15 @@ def outage_count_recent(intervals: DataFrame, as_of=None, interval: str = "5 MIN
     return total_outages(filter_recent(intervals, as_of, interval))
 
 
-def max_outages_per_node(intervals: DataFrame, as_of=None, interval: str = "1 HOUR") -> DataFrame:
-    per_node = filter_recent(intervals, as_of, interval).groupBy("node_id").agg(_count().alias("n"))
+def most_outages_of_a_node(intervals: DataFrame) -> DataFrame:
+    per_node = intervals.groupBy("node_id").agg(_count().alias("n"))
     return per_node.agg(F.max("n").alias("value"))
 
 
+def max_outages_per_node(intervals: DataFrame, as_of=None, interval: str = "1 HOUR") -> DataFrame:
+    return most_outages_of_a_node(filter_recent(intervals, as_of, interval))
+
+
 def with_band(df: DataFrame, value: str, band: str, into: str = "band") -> DataFrame:
     """Add the colour band of a value; ``band`` names one of the fixed step sets."""
     return df.withColumn(into, threshold_band(F.col(value), BANDS[band]))

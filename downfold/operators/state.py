@@ -56,8 +56,8 @@ def closes_outage() -> Column:
     return F.col("prev.down") & ~F.col("down") & (F.col("event_time") > F.col("prev.event_time"))
 
 
-def intervals_of(states: DataFrame) -> DataFrame:
-    """Outage intervals from alarms that carry their previous state."""
+def intervals_of(states: DataFrame, *also: Column) -> DataFrame:
+    """Outage intervals from alarms that carry their previous state; ``also`` is taken from the closing alarm."""
     duration = F.col("event_time") - F.col("prev.event_time")
     down_at = F.timestamp_millis(F.col("prev.event_time"))
     return states.where(closes_outage()).select(
@@ -67,6 +67,7 @@ def intervals_of(states: DataFrame) -> DataFrame:
         duration.alias("duration_ms"),
         (duration / 1000.0).alias("duration_sec"),
         utc_day(down_at).alias("down_day"),
+        *also,
     )
 
 

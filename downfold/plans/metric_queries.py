@@ -193,7 +193,7 @@ def _series(spark: SparkSession, sf_dir: str):
     table = testtables.alarms(spark, sf_dir, "fast")
     span = written(_span(table), "span")
     changes = written(state_changes(with_previous_state(table)), "changes")
-    commits_df = testtables.interval_commits(intervals_of(changes))
+    commits_df = commits()(spark, sf_dir)
     wide = testtables.cdc_messages(spark, sf_dir, "fast")
     return written(alerts.rule_series(changes, commits_df, table, wide, span), "series"), span
 
@@ -256,7 +256,7 @@ lags AS (
   SELECT (created_ms + 59999) // 60000 * 60000 AS step, {LAG_SQL} AS lag_ms,
     row_number() OVER (ORDER BY (created_ms + 59999) // 60000, id) AS n
   FROM alarms WHERE {LAG_SQL} > 0),
-lat AS (SELECT t, committed_ms - up_ms AS ms FROM grid JOIN commits ON committed_ms <= t AND committed_ms > t - 300000),
+lat AS (SELECT t, committed_ms - created_ms AS ms FROM grid JOIN commits ON committed_ms <= t AND committed_ms > t - 300000),
 {histogram_sql("lat", "ms", LATENCY_BOUNDS, "t")},
 p95 AS ({quantile_sql("t", (0.95,))}),
 per_shard AS (SELECT t, shard, max(committed_ms) AS last FROM grid JOIN commits ON committed_ms <= t GROUP BY ALL),
@@ -374,7 +374,7 @@ FROM increases GROUP BY ALL""",
         commits(),
         lambda df: bucket_histogram(metrics.batch_sizes(df), "records", BATCH_BOUNDS, ["shard"]),
         f"""WITH {commits_sql()}, bounds(le) AS (VALUES {_values(BATCH_BOUNDS)}, ('inf'::DOUBLE)),
-sizes AS (SELECT shard, committed_ms, count(*) AS n FROM commits GROUP BY ALL)
+sizes AS (SELECT shard, batch_id, count(*) AS n FROM commits GROUP BY ALL)
 SELECT shard, le, count(*) FILTER (WHERE n <= le) AS cumulative, sum(n)::DOUBLE AS sum, count(*) AS count
 FROM sizes, bounds GROUP BY ALL""",
     ),
@@ -403,7 +403,7 @@ FROM sizes, bounds GROUP BY ALL""",
     "ratio_of_sums": on(
         commits(),
         lambda df: metrics.ratio_of_sums(metrics.batch_sizes(df), "records", "batches", ["shard"]),
-        f"""WITH {commits_sql()} SELECT shard, count(*)::DOUBLE / count(DISTINCT committed_ms) AS ratio
+        f"""WITH {commits_sql()} SELECT shard, count(*)::DOUBLE / count(DISTINCT batch_id) AS ratio
 FROM commits GROUP BY 1""",
     ),
     "staleness": on(
@@ -432,13 +432,13 @@ FROM alarms WHERE {LAG_SQL} > 0 GROUP BY 1""",
     "e2e_latency": on(
         commits(),
         lambda df: metrics.e2e_histogram(df, ["shard"]),
-        f"""WITH {commits_sql()}, lat AS (SELECT shard, committed_ms - up_ms AS ms FROM commits),
+        f"""WITH {commits_sql()}, lat AS (SELECT shard, committed_ms - created_ms AS ms FROM commits),
 {histogram_sql('lat', 'ms', LATENCY_BOUNDS, 'shard')} SELECT * FROM buckets""",
     ),
     "e2e_quantiles": on(
         commits(),
         lambda df: metrics.e2e_quantiles(df, by=["shard"]),
-        f"""WITH {commits_sql()}, lat AS (SELECT shard, committed_ms - up_ms AS ms FROM commits),
+        f"""WITH {commits_sql()}, lat AS (SELECT shard, committed_ms - created_ms AS ms FROM commits),
 {histogram_sql('lat', 'ms', LATENCY_BOUNDS, 'shard')} {quantile_sql('shard')}""",
     ),
     "last_value": on(

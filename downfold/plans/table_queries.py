@@ -3,12 +3,23 @@
 Every one reads a whole input table, writes in the shared folder, and reads back.
 """
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from downfold.operators import decode, filters, outages, sla
 from downfold.operators.state import with_previous_state, intervals_of
 from downfold.plans.outage_queries import MEAN_SEC, PARTIALS_SQL, QUERIES as PLAIN, SLA_SQL
-from downfold.plans.tables import INTERVAL_COLUMNS, REPEATED_SQL, Query, alarms_sql, comparable, intervals_sql
+from downfold.plans.tables import (
+    INTERVAL_COLUMNS,
+    REPEATED_SQL,
+    Query,
+    alarms_sql,
+    commits,
+    commits_sql,
+    comparable,
+    intervals_sql,
+)
 from downfold.schemas import CDC_MESSAGES, NODE_INTERVALS
 from downfold.session import pin_utc, work_folder
 from downfold.sources import alarms as alarm_source, intervals as tables, testtables
@@ -41,6 +52,14 @@ def _interval_table(spark: SparkSession, sf_dir: str, clock: str = "natural") ->
     return path
 
 
+def _landed(spark: SparkSession, sf_dir: str, clock: str = "natural") -> str:
+    """Intervals as plain files, for streams that read files."""
+    pin_utc(spark)
+    path = work_folder(spark, "landed")
+    _intervals(spark, sf_dir, clock).write.parquet(path)
+    return path
+
+
 def _write_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(tables.read_intervals(spark, _interval_table(spark, sf_dir)))
 
@@ -56,15 +75,45 @@ def _read_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partials of four batches, written separately, then compacted and merged at read."""
+    """Partials of four batches, committed separately, then compacted and merged at read."""
     pin_utc(spark)
-    path, compacted = work_folder(spark, "daily"), work_folder(spark, "daily-compact")
+    path = work_folder(spark, "daily")
     source = tables.read_intervals(spark, _interval_table(spark, sf_dir))
     for batch in range(4):
         part = source.where(F.pmod(F.xxhash64("node_id", "down_at"), F.lit(4)) == batch)
         tables.write_daily_states(sla.daily_node_partials(part), path, batch)
-    tables.compact_daily_states(spark, path, compacted)
-    return comparable(sla.daily_node_stats(tables.read_daily_states(spark, compacted)))
+    tables.compact_daily_states(spark, path)
+    return comparable(sla.daily_node_stats(tables.read_daily_states(spark, path)))
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after ten batches, one of them sent twice, with parts merged by fours on the way and then all."""
+    pin_utc(spark)
+    path = work_folder(spark, "intervals")
+    source = tables.read_intervals(spark, _interval_table(spark, sf_dir))
+    for batch in (0, 1, 2, 3, 4, 5, 6, 7, 3, 8, 9):
+        part = source.where(F.pmod(F.xxhash64("node_id", "down_at"), F.lit(10)) == batch)
+        tables.write_intervals(part, path, batch, fan=4)
+    tables.interval_table(spark, path).compact()
+    return comparable(tables.read_intervals(spark, path))
+
+
+def _commit_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    return comparable(commits()(spark, sf_dir).drop("duration_sec", "down_day"))
+
+
+def _recent(question, lookback: timedelta):
+    """A question about the time before the last closed outage, asked of the written table."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _interval_table(spark, sf_dir, "fast")
+        last = tables.interval_table(spark, path).version().parts[-1:]
+        newest = tables.read_intervals(spark, path, last[0].day if last else None).agg(F.max("up_at")).first()[0]
+        as_of = newest.astimezone(timezone.utc) if newest else datetime(1970, 1, 1, tzinfo=timezone.utc)
+        return comparable(question(tables.read_recent_intervals(spark, path, as_of, lookback)))
+
+    return run
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +175,7 @@ def _job_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_utc(spark)
-    landed, out = _interval_table(spark, sf_dir), work_folder(spark, "daily-stream")
+    landed, out = _landed(spark, sf_dir), work_folder(spark, "daily-stream")
     stream = spark.readStream.schema(NODE_INTERVALS).parquet(landed)
     rollup.daily_rollup_stream(stream, out, work_folder(spark, "checkpoint"), AT_ONCE).awaitTermination()
     return comparable(sla.daily_node_stats(tables.read_daily_states(spark, out)))
@@ -135,7 +184,7 @@ def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Complete mode: every minute seen is kept, whatever the watermark says."""
     pin_utc(spark)
-    landed, out = _interval_table(spark, sf_dir, "fast"), work_folder(spark, "minutes")
+    landed, out = _landed(spark, sf_dir, "fast"), work_folder(spark, "minutes")
     per_minute = outages.outages_over_time_stream(spark.readStream.schema(NODE_INTERVALS).parquet(landed))
 
     def replace(batch: DataFrame, batch_id: int) -> None:
@@ -164,6 +213,27 @@ WHERE make_timestamp(down_ms * 1000)::DATE BETWEEN DATE '2024-01-10' AND DATE '2
         _read_range,
         f"""WITH {intervals_sql()} SELECT {INTERVAL_COLUMNS} FROM intervals
 WHERE down_ms BETWEEN epoch_ms(TIMESTAMP '2024-01-10 06:00:00') AND epoch_ms(TIMESTAMP '2024-01-12 18:00:00')""",
+    ),
+    "read_intervals_compacted": Query(_compacted, INTERVALS_SQL),
+    "interval_commits": Query(
+        _commit_record,
+        f"""WITH {commits_sql()} SELECT node_id, down_ms AS down_at_ms, up_ms AS up_at_ms, duration_ms,
+  created_ms AS created_ts_ms, committed_ms AS committed_ts_ms, shard, batch_id FROM commits""",
+    ),
+    "max_duration_recent_from_table": Query(
+        _recent(outages.max_duration, timedelta(minutes=5)),
+        f"""WITH {intervals_sql("fast")} SELECT max(duration_ms) / 1000.0::DOUBLE AS value FROM intervals
+WHERE down_ms >= (SELECT max(up_ms) FROM intervals) - 300000""",
+    ),
+    "outage_count_recent_from_table": Query(
+        _recent(outages.total_outages, timedelta(minutes=5)),
+        f"""WITH {intervals_sql("fast")} SELECT count(*) AS value FROM intervals
+WHERE down_ms >= (SELECT max(up_ms) FROM intervals) - 300000""",
+    ),
+    "max_outages_per_node_from_table": Query(
+        _recent(outages.most_outages_of_a_node, timedelta(hours=1)),
+        f"""WITH {intervals_sql("fast")}, per AS (SELECT node_id, count(*) AS n FROM intervals
+WHERE down_ms >= (SELECT max(up_ms) FROM intervals) - 3600000 GROUP BY 1) SELECT max(n) AS value FROM per""",
     ),
     "write_daily_states": Query(_daily_states, f"WITH {intervals_sql()}\n{PARTIALS_SQL}"),
     "interval_job_from_messages": Query(

@@ -9,8 +9,10 @@ from pyspark.sql.types import DateType, IntegerType, LongType, MapType, Timestam
 from downfold.constants import STATE_TTL_MS
 from downfold.operators.metrics import series_key
 from downfold.operators.state import downtime_intervals
-from downfold.session import pin_utc
+from downfold.session import pin_utc, work_folder
 from downfold.sources import testtables
+from downfold.sources.intervals import read_commits
+from downfold.streaming import fold
 
 
 class Query(NamedTuple):
@@ -58,8 +60,29 @@ def intervals(clock: str = "natural", **options):
     return lambda spark, sf_dir: downtime_intervals(testtables.alarms(spark, sf_dir, clock), **options)
 
 
+#: Micro-batches in which the job is fed the alarms whose commits are asked about.
+CUTS = 4
+
+
 def commits(clock: str = "fast"):
-    return lambda spark, sf_dir: testtables.interval_commits(intervals(clock)(spark, sf_dir))
+    """The interval table that the job leaves when all alarms are fed to it, cut by id.
+
+    Its clock is that of the feed: a batch is taken up and committed when its last alarm arrives.
+    """
+
+    def last_arrival(batch: DataFrame) -> int:
+        return batch.agg(F.max("arrived_ms")).first()[0] or 0
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_folder(spark, "commits")
+        work = fold.interval_fold(root, ttl_ms=None, clock=last_arrival)
+        feed = fold.slim_alarms(testtables.alarms(spark, sf_dir, clock))
+        last = feed.agg(F.max("id")).first()[0] or 0
+        for n in range(CUTS):
+            work(feed.where(F.expr(f"id * {CUTS} div {last + 1} = {n}")), n)
+        return read_commits(spark, f"{root}/intervals")
+
+    return run
 
 
 def messages(clock: str = "natural"):
@@ -111,8 +134,12 @@ intervals AS (
 
 def commits_sql(clock: str = "fast") -> str:
     return f"""{intervals_sql(clock)},
+cut AS (SELECT *, id * {CUTS} // ((SELECT max(id) FROM alarms) + 1) AS batch_id FROM states),
+flushed AS (SELECT batch_id, max(created_ms) AS committed_ms FROM cut GROUP BY 1),
 commits AS (
-  SELECT *, ((up_ms // 2000) + 1) * 2000 AS committed_ms, {SHARD_SQL} AS shard FROM intervals)"""
+  SELECT node_id, pt AS down_ms, event_time AS up_ms, event_time - pt AS duration_ms, created_ms, committed_ms, batch_id,
+    {SHARD_SQL} AS shard
+  FROM cut JOIN flushed USING (batch_id) WHERE pd AND NOT down AND event_time > pt)"""
 
 
 INTERVAL_COLUMNS = """node_id, down_ms AS down_at_ms, up_ms AS up_at_ms, duration_ms,

@@ -58,6 +58,17 @@ NODE_INTERVALS = _struct(
     down_day=DateType(),
 )
 
+# Rows of the interval table: intervals with their commit record.
+INTERVAL_COMMITS = StructType(
+    NODE_INTERVALS.fields
+    + _struct(
+        created_ts=TimestampType(),
+        committed_ts=TimestampType(),
+        shard=IntegerType(),
+        batch_id=LongType(),
+    ).fields
+)
+
 DAILY_PARTIALS = _struct(
     node_id=StringType(),
     day=DateType(),

@@ -13,8 +13,7 @@ after it happened, so ingest lag varies. Arrival order is ``id``.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from downfold.constants import CDC_TOPIC, SINK_FLUSH_MS
-from downfold.functions.scalar import ceil_ms, shard_of
+from downfold.constants import CDC_TOPIC
 
 EVENTS_DDL = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -122,19 +121,6 @@ def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def interval_commits(intervals: DataFrame) -> DataFrame:
-    """Intervals with the times a sink flushing every two seconds would give them."""
-    created = F.unix_millis("up_at")
-    committed = ceil_ms(created + 1, SINK_FLUSH_MS)
-    return intervals.select(
-        "*",
-        F.col("up_at").alias("created_ts"),
-        F.timestamp_millis(committed).alias("committed_ts"),
-        shard_of(F.col("node_id")).alias("shard"),
-        F.floor(committed / SINK_FLUSH_MS).cast("long").alias("batch_id"),
-    )
-
-
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as one metric sample: a counter per node that falls back at random.
 

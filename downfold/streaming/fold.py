@@ -10,7 +10,8 @@ interval table, the daily partials and the node state.
 """
 
 import sys
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -25,7 +26,7 @@ from downfold.functions.ordered import lag_in_key
 from downfold.functions.scalar import is_down, utc_day
 from downfold.operators.sla import daily_node_partials
 from downfold.operators.state import ID_SPAN, arrival_column, intervals_of
-from downfold.schemas import JOB_STATE, NODE_INTERVALS
+from downfold.schemas import JOB_STATE
 from downfold.sources.intervals import write_daily_states, write_intervals
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -133,20 +134,25 @@ BEFORE_ALL = -(1 << 62)
 def fold_batch(batch: DataFrame, state: DataFrame | None, ttl_ms: int | None, now_ms: int):
     """(intervals, new state) of one micro-batch of ``(node_id, id, event_time, down)`` rows.
 
-    The stored state of a node takes part as an alarm before all new ones, whatever their
+    An interval comes into being (``created_ts``) when the alarm that closes it reaches the
+    feed: at the batch's ``arrived_ms`` where it has that, else at ``now_ms``. The stored state of a node takes part as an alarm before all new ones, whatever their
     ids: it can open an outage but not close one. Inside the batch the order is by ``ord``
     where the batch has it, else by id.
     """
     order = F.col("ord" if "ord" in batch.columns else "id").alias("ord")
-    rows = batch.select("node_id", "id", "event_time", "down", F.lit(now_ms).alias("seen_ms"), order)
+    arrived = F.coalesce("arrived_ms", F.lit(now_ms)) if "arrived_ms" in batch.columns else F.lit(now_ms)
+    rows = batch.select(
+        "node_id", "id", "event_time", "down", F.lit(now_ms).alias("seen_ms"), order, arrived.alias("arrived_ms")
+    )
     if state is not None:
         live = state if ttl_ms is None else state.where(F.col("seen_ms") >= now_ms - ttl_ms)
-        rows = rows.unionByName(live.withColumn("ord", F.lit(BEFORE_ALL)).select(rows.columns))
+        before = live.withColumns({"ord": F.lit(BEFORE_ALL), "arrived_ms": F.col("seen_ms")})
+        rows = rows.unionByName(before.select(rows.columns))
     seen = lag_in_key(rows, ["node_id"], ["ord"], ["down", "event_time"], "prev", ID_SPAN)
     last = rows.groupBy("node_id").agg(
         *[F.max_by(name, "ord").alias(name) for name in ("id", "event_time", "down", "seen_ms")]
     )
-    return intervals_of(seen), last
+    return intervals_of(seen, F.timestamp_millis("arrived_ms").alias("created_ts")), last
 
 
 def _state_slot(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
@@ -160,52 +166,79 @@ def _state_slot(spark: SparkSession, root: str, batch_id: int) -> DataFrame | No
     return slot.where(F.col("batch") == batch_id)
 
 
-def batch_time(spark: SparkSession, root: str, batch_id: int) -> int:
+def wall_clock(batch: DataFrame) -> int:
+    """Epoch ms now."""
+    return time.time_ns() // 1_000_000
+
+
+def batch_time(spark: SparkSession, root: str, batch_id: int, now: Callable[[], int]) -> int:
     """Processing time of a micro-batch in epoch ms: the one its state holds if this is a replay, else now."""
     before = _state_slot(spark, root, batch_id)
     kept = before.agg(F.max("seen_ms")).first()[0] if before is not None else None
-    return kept if kept is not None else spark.range(1).select(F.unix_millis(F.current_timestamp())).first()[0]
+    return kept if kept is not None else now()
 
 
-def start_interval_job(
-    alarm_stream: DataFrame,
-    root: str,
-    checkpoint: str,
-    ttl_ms: int | None = STATE_TTL_MS,
-    trigger: dict | None = None,
-    down_traps=DOWN_TRAPS,
-) -> StreamingQuery:
-    """Fold a stream of alarms into ``root/intervals``, ``root/daily`` and ``root/state``.
-
-    The state is a table with one row per node that every micro-batch rewrites into the
-    other of two folders: batch N reads what batch N-1 wrote and replaces what N-2 wrote.
-    A replayed micro-batch therefore starts from the same state, takes the time its first
-    run left with its state, and writes the same output.
-    """
-    slim = alarm_stream.select(
+def slim_alarms(alarms: DataFrame, down_traps=DOWN_TRAPS) -> DataFrame:
+    """What the job needs of alarms, bounded or streaming; ``arrived_ms`` is when an alarm reached the feed."""
+    arrived = F.unix_millis("created_at") if "created_at" in alarms.columns else F.lit(None).cast("long")
+    return alarms.select(
         "node_id",
         "id",
         "event_time",
         F.coalesce(is_down(F.col("trap_id"), down_traps), F.lit(False)).alias("down"),
-        F.col(arrival_column(alarm_stream)).alias("ord"),
+        F.col(arrival_column(alarms)).alias("ord"),
+        arrived.alias("arrived_ms"),
     )
 
+
+def interval_fold(
+    root: str, ttl_ms: int | None = STATE_TTL_MS, clock: Callable[[DataFrame], int] = wall_clock
+) -> Callable[[DataFrame, int], None]:
+    """The work of the job on one micro-batch of ``slim_alarms`` and its id.
+
+    ``clock`` gives the time at which a batch is taken up and the time at which its
+    intervals are committed. The state goes first, with the time of the batch: a replay
+    after a failure at any later point folds from the same state at the same time, and what
+    is committed already is left as it is.
+    """
+
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        now_ms = batch_time(spark, root, batch_id)
+        now_ms = batch_time(spark, root, batch_id, lambda: clock(batch))
         state = _state_slot(spark, root, batch_id - 1) if batch_id else None
         batch.persist()
+        intervals, last = fold_batch(batch, state, ttl_ms, now_ms)
+        intervals.persist()
         try:
-            intervals, last = fold_batch(batch, state, ttl_ms, now_ms)
-            write_intervals(intervals, f"{root}/intervals", batch_id)
             stamped = last.withColumn("batch", F.lit(batch_id).cast("long"))
             stamped.write.mode("overwrite").parquet(f"{root}/state/slot={batch_id % 2}")
+            write_intervals(intervals, f"{root}/intervals", batch_id, clock(batch))
+            write_daily_states(daily_node_partials(intervals), f"{root}/daily", batch_id)
         finally:
+            intervals.unpersist()
             batch.unpersist()
-        written = spark.read.schema(NODE_INTERVALS).parquet(f"{root}/intervals/batch_id={batch_id}")
-        write_daily_states(daily_node_partials(written), f"{root}/daily", batch_id)
 
-    writer = slim.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
+    return fold
+
+
+def start_interval_job(
+    alarm_stream: DataFrame,
+    root: str,
+    checkpoint: str,
+    ttl_ms: int | None = STATE_TTL_MS,
+    trigger: dict | None = None,
+    down_traps=DOWN_TRAPS,
+    clock: Callable[[DataFrame], int] = wall_clock,
+) -> StreamingQuery:
+    """Fold a stream of alarms into ``root/intervals``, ``root/daily`` and ``root/state``.
+
+    The state is a table with one row per node that every micro-batch rewrites into the
+    other of two folders: batch N reads what batch N-1 wrote and replaces what N-2 wrote.
+    A replayed micro-batch therefore starts from the same state, takes the time its first
+    run left with its state, and adds nothing that its first run has committed.
+    """
+    slim = slim_alarms(alarm_stream, down_traps)
+    writer = slim.writeStream.foreachBatch(interval_fold(root, ttl_ms, clock)).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 

@@ -1,6 +1,6 @@
 """Streaming sinks: the interval table and the daily partials.
 
-Each micro-batch overwrites its own folder, so a replay after a failure does not double rows.
+A batch is committed once by its id, so a replay after a failure does not double rows.
 """
 
 from pyspark.sql import DataFrame

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from downfold.operators import alerts
 from downfold.operators.state import state_changes, with_previous_state
+from downfold.plans.tables import commits as commits_of_the_job
 from downfold.sources import testtables
 from helpers import alarms, intervals, parse
 
@@ -130,14 +131,34 @@ def test_all_rules_have_series(spark):
     table = testtables.alarms(spark, sf_dir, "fast")
     span = table.agg(F.min("event_time").alias("start_ms"), F.max("event_time").alias("end_ms"))
     changes = state_changes(with_previous_state(table))
-    from downfold.operators.state import intervals_of
-
-    commits = testtables.interval_commits(intervals_of(changes))
+    commits = commits_of_the_job()(spark, sf_dir)
     wide = testtables.cdc_messages(spark, sf_dir, "fast")
     series = alerts.rule_series(changes, commits, table, wide, span)
     assert {r[0] for r in series.select("rule").distinct().collect()} == {r[0] for r in alerts.RULE_TABLE}
 
 
+def commits_every(spark, seconds_between, latency, n=12):
+    """One interval a commit, committed ``latency`` seconds after it came into being."""
+    rows = [((i + 1) * seconds_between - latency, (i + 1) * seconds_between, i % 5) for i in range(n)]
+    df = spark.createDataFrame(rows, "created long, committed long, shard int")
+    return df.select(F.timestamp_seconds("created").alias("created_ts"), F.timestamp_seconds("committed").alias("committed_ts"), "shard")
+
+
+@pytest.mark.parametrize(("latency", "states"), [(30, {"Pending", "Firing"}), (11, {"Pending", "Firing"}), (3, {"Normal"})])
+def test_slow_commits_fire(spark, latency, states):
+    series = alerts.commit_latency_series(commits_every(spark, 60, latency)).where("time_ms <= 720000")
+    judged = alerts.evaluate_threshold(series, "gt", 10.0)
+    assert {r.state for r in alerts.alert_state(judged, F.lit(180_000)).collect()} == states
+
+
+def test_slow_commits_fire_on_what_the_job_wrote(spark):
+    """Batches of some minutes on the clock of the feed are committed long after most of their intervals ended."""
+    sf_dir = "/root/testdata/sf0.001"
+    series = alerts.commit_latency_series(commits_of_the_job()(spark, sf_dir))
+    judged = alerts.evaluate_threshold(series, "gt", 10.0)
+    assert "Firing" in {r.state for r in alerts.alert_state(judged, F.lit(180_000)).collect()}
+
+
 def test_steps_that_do_not_divide_the_window_are_refused(spark):
     for step in (0, -60_000, 420_000, 600_000):
         with pytest.raises(ValueError):
