@@ -8,6 +8,37 @@ from downfold.schemas import CDC_VALUE
 
 OK = "ok"
 
+# Fields whose names are read in any case.
+FIELDS = ("payload", "after", "id", "node_id", "trap_id", "event_time")
+
+# One object, three deep at most, whose strings hold neither braces nor backslashes: nothing
+# can stand behind it. Longer texts are not matched, so that matching stays shallow.
+_TEXTS = r'[^{}"\\]*+(?:"[^"{}\\]*+"[^{}"\\]*+)*+'
+_PLAIN = rf"\s*\{{{_TEXTS}(?:\{{{_TEXTS}(?:\{{{_TEXTS}\}}{_TEXTS})*+\}}{_TEXTS})*+\}}\s*"
+_PLAIN_LENGTH = 4096
+
+
+def _with_plain_names(text: Column) -> Column:
+    """``text`` with the names of the fields in lower case; texts that have them so stay as they are."""
+    lowered = text
+    for name in FIELDS:
+        lowered = F.regexp_replace(lowered, rf'"(?i:{name})"(\s*:)', rf'"{name}"$1')
+    odd = text.rlike(rf'"(?=[^"]*[A-Z])(?i:{"|".join(FIELDS)})"\s*:')
+    return F.when(odd, lowered).otherwise(text)
+
+
+def _one_document(text: Column) -> Column:
+    """Whether ``text`` is one JSON value and nothing more, as far as brackets and commas go.
+
+    Readers stop at the end of the first value. What may stand behind it shows in one of two
+    wrappings: a closing bracket breaks an object, a closing brace or a further value an array.
+    """
+    length = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    keys = F.json_object_keys(F.concat(F.lit('{"a":'), text, F.lit("}")))
+    strictly = F.coalesce((length == 1) & keys.isNotNull(), F.lit(False))
+    plain = (F.length(text) <= _PLAIN_LENGTH) & text.rlike(f"^{_PLAIN}$")
+    return F.when(plain, F.lit(True)).otherwise(strictly)
+
 
 def decode_cdc(messages: DataFrame) -> DataFrame:
     """Add ``id, node_id, trap_id, event_time`` and the ``reject`` reason (null when decodable).
@@ -15,7 +46,7 @@ def decode_cdc(messages: DataFrame) -> DataFrame:
     Missing or null fields take the zero value of their type, as the deciding rule of the
     data model says. A message is undecodable when the text is blank, is not exactly
     one JSON document (no single quotes, no NaN, nothing behind it), or holds a field of the
-    wrong type. The document ``null`` is decodable and names no node. ``id`` is null when it
+    wrong type. Names of fields are read in any case. The document ``null`` is decodable and names no node. ``id`` is null when it
     is not an integer; it does not decide on anything. Spark would read a numeric node as
     text, so node values that do not look like plain names are checked against the type the
     text really has.
@@ -28,21 +59,21 @@ def decode_cdc(messages: DataFrame) -> DataFrame:
     }
     # Unfolding a one-element array keeps later filters from being pushed below the parse,
     # where they would parse every message a second time.
-    document = F.array(F.from_json("value", CDC_VALUE, options))
-    parsed = messages.withColumn("_doc", F.explode(document))
+    text = _with_plain_names(F.col("value"))
+    document = F.array(F.struct(F.from_json(text, CDC_VALUE, options).alias("doc"), text.alias("text")))
+    parsed = messages.withColumn("_read", F.explode(document))
+    parsed = parsed.select(*messages.columns, F.col("_read.doc").alias("_doc"), F.col("_read.text").alias("_text"))
     after = F.col("_doc.payload.after")
     node = after["node_id"]
     raw_type = F.schema_of_variant(
-        F.try_variant_get(F.try_parse_json("value"), "$.payload.after.node_id", "variant")
+        F.try_variant_get(F.try_parse_json("_text"), "$.payload.after.node_id", "variant")
     )
     not_text = F.when(node.rlike(r"^([-0-9\[{]|true$|false$)"), raw_type != "STRING").otherwise(False)
-    # as the only element of an array: text behind the document breaks the array or adds to it
-    documents = F.json_array_length(F.concat(F.lit("["), F.col("value"), F.lit("]")))
     bare = F.btrim("value", F.lit(" \t\r\n"))
     undecodable = (
         F.col("value").isNull()
         | (bare == "")
-        | (F.coalesce(documents, F.lit(0)) != 1)
+        | ~_one_document(F.col("_text"))
         | ((bare != "null") & F.col("_doc._corrupt").isNotNull())
         | F.coalesce(not_text, F.lit(False))
     )

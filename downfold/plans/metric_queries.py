@@ -20,6 +20,7 @@ from downfold.plans.tables import (
     Query,
     alarms,
     alarms_sql,
+    UNDECODABLE,
     commits,
     commits_sql,
     comparable,
@@ -251,7 +252,7 @@ def _rules_sql() -> str:
 SERIES_SQL = f"""{commits_sql("fast")}, {_rules_sql()},
 grid AS (SELECT unnest(generate_series((min(event_time) + 59999) // 60000 * 60000,
   (max(event_time) + 59999) // 60000 * 60000, 60000)) AS t FROM alarms),
-errs AS (SELECT epoch_us(ts) // 1000 // 1000 AS ms FROM events WHERE event_id % 50 IN (0, 3, 4, 5, 6, 7, 8, 9)),
+errs AS (SELECT epoch_us(ts) // 1000 // 1000 AS ms FROM events WHERE event_id % 50 IN {UNDECODABLE}),
 lags AS (
   SELECT (created_ms + 59999) // 60000 * 60000 AS step, {LAG_SQL} AS lag_ms,
     row_number() OVER (ORDER BY (created_ms + 59999) // 60000, id) AS n

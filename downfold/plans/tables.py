@@ -150,9 +150,10 @@ DAY = "make_timestamp(down_ms * 1000)::DATE::VARCHAR"
 TTL = STATE_TTL_MS
 
 # How the change messages of an event fare, by event_id % 50.
-MESSAGES_SQL = """messages AS (
+UNDECODABLE = "(0, 3, 4, 5, 6, 7, 8, 9, 12, 13, 14, 15, 16)"
+MESSAGES_SQL = f"""messages AS (
   SELECT event_id, ts, 'dbserver1.inventory.histalarms' AS topic,
-    CASE WHEN event_id % 50 IN (0, 3, 4, 5, 6, 7, 8, 9) THEN 'json_unmarshal' END AS reject,
+    CASE WHEN event_id % 50 IN {UNDECODABLE} THEN 'json_unmarshal' END AS reject,
     CASE WHEN event_id % 50 IN (0, 1, 2, 4, 10) THEN '' ELSE 'NODE_' || user_id END AS node_id,
     CASE event_type WHEN 'error' THEN 1417 WHEN 'signup' THEN 1535 ELSE 9999 END AS trap_id,
     epoch_us(ts) // 1000 AS event_time

@@ -57,8 +57,9 @@ def cdc_messages(spark: SparkSession, sf_dir: str, clock: str = "natural") -> Da
 
     By ``event_id % 50``: 0 truncated, 1 empty node, 2 deletion, 3 trap code as text,
     4 blank, 5 numeric node, 6 single quotes, 7 text behind the document, 8 two documents,
-    9 NaN in a field nobody reads, 10 the document null, 11 a row id that is text; all
-    others are sound.
+    9 NaN in a field nobody reads, 10 the document null, 11 a row id that is text, 12 to 16
+    a bracket, a bracket and text, a brace, a further field, a further value behind the
+    document, 17 names of fields in another case, 18 braces in a text; all others are sound.
     """
     ev = events(spark, sf_dir)
     natural = F.unix_millis(F.col("ts").cast("timestamp"))
@@ -91,6 +92,13 @@ def cdc_messages(spark: SparkSession, sf_dir: str, clock: str = "natural") -> Da
         .when(kind == 9, F.concat(F.lit('{"ts_ms":NaN,'), F.substr(sound, F.lit(2))))
         .when(kind == 10, F.lit(" null "))
         .when(kind == 11, F.regexp_replace(sound, '"id":([0-9]+)', '"id":"row $1"'))
+        .when(kind == 12, F.concat(sound, F.lit("]")))
+        .when(kind == 13, F.concat(sound, F.lit("] x")))
+        .when(kind == 14, F.concat(sound, F.lit("}")))
+        .when(kind == 15, F.concat(sound, F.lit(',"more":{}')))
+        .when(kind == 16, F.concat(sound, F.lit(",1")))
+        .when(kind == 17, F.regexp_replace(F.regexp_replace(sound, '"node_id"', '"Node_Id"'), '"payload"', '"PAYLOAD"'))
+        .when(kind == 18, F.concat(F.lit('{"note":"}{",'), F.substr(sound, F.lit(2))))
         .otherwise(sound)
     )
     return ev.select(

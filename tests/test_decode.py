@@ -38,6 +38,19 @@ REJECTED = {
     "brace behind": after(**SOUND) + "}",
     "two documents": after(**SOUND) + after(**SOUND),
     "two with a comma": after(**SOUND) + "," + after(**SOUND),
+    "bracket behind": after(**SOUND) + "]",
+    "bracket and text behind": after(**SOUND) + "] junk",
+    "bracket and brace behind": after(**SOUND) + "]}",
+    "brace and bracket behind": after(**SOUND) + "}]",
+    "comma behind": after(**SOUND) + ",",
+    "value behind": after(**SOUND) + ",1",
+    "array behind": after(**SOUND) + "],[1",
+    "field behind": after(**SOUND) + ',"b":2',
+    "object field behind": after(**SOUND) + ',"b":{}',
+    "braces in texts hide a field behind": '{"k":"{",' + after(**SOUND)[1:] + ',"b":{"c}":1}',
+    "null and more": "null,null",
+    "long with text behind": after(**SOUND, more=["x" * 9] * 2000) + " x",
+    "node of another case is a number": after(id=7, NODE_ID=5, trap_id=1417, event_time=5000),
     "NaN nobody reads": '{"ts_ms":NaN,' + after(**SOUND)[1:],
 }
 
@@ -62,6 +75,14 @@ ACCEPTED = {
     "blanks around": (" \n" + after(**SOUND) + "\t", ("NODE_1", 1417, 5000)),
     "digits as text": (after(node_id="15", trap_id=1, event_time=1), ("15", 1, 1)),
     "word true as text": (after(node_id="true", trap_id=1, event_time=1), ("true", 1, 1)),
+    "names in another case": (after(**SOUND).replace("payload", "Payload").replace("after", "AFTER").replace("node_id", "Node_Id"), ("NODE_1", 1417, 5000)),
+    "all names in capitals": ('{"PAYLOAD": {"AFTER" :{"ID":7,"NODE_ID":"n","TRAP_ID":1535,"EVENT_TIME":9}}}', ("n", 1535, 9)),
+    "names in texts stay": (after(**{**SOUND, "node_id": 'a "NODE_ID": b'}), ('a "NODE_ID": b', 1417, 5000)),
+    "braces in texts": (after(**{**SOUND, "node_id": "}{"}), ("}{", 1417, 5000)),
+    "quotes in texts": (after(**{**SOUND, "node_id": '"}\\'}), ('"}\\', 1417, 5000)),
+    "deep": (json.dumps({"payload": {"after": SOUND, "a": {"b": {"c": {"d": [{}]}}}}}), ("NODE_1", 1417, 5000)),
+    "long": (after(**SOUND, more=["x" * 9] * 2000), ("NODE_1", 1417, 5000)),
+    "many texts": (json.dumps({"more": {f"k{i}": "v" for i in range(300)}, "payload": {"after": SOUND}}), ("NODE_1", 1417, 5000)),
     "other fields": (json.dumps({"schema": {"x": 1}, "payload": {"after": {**SOUND, "more": [1]}}}), ("NODE_1", 1417, 5000)),
 }
 
