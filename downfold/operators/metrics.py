@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from downfold.constants import FLAP_MS, LATENCY_BOUNDS, OUTAGE_BOUNDS
 from downfold.functions.ordered import lag_in_key
@@ -97,23 +97,54 @@ def counter_increase(samples: DataFrame, span_us: int | None = HOUR_US) -> DataF
     )
 
 
-def counter_rate(samples: DataFrame, window_sec: int, span_us: int | None = HOUR_US) -> DataFrame:
-    """Per-second increase of each series in tumbling windows, counter resets handled."""
-    start = floor_ms(F.floor(F.col("_us") / 1000), window_sec * 1000)
-    return (
+def counter_rates(
+    samples: DataFrame, windows_sec: Sequence[int], slide_sec: int, span_us: int | None = HOUR_US
+) -> DataFrame:
+    """Per-second increase of each series in windows of several lengths that start every ``slide_sec``.
+
+    An increase belongs to the step of the later of its two samples, also if the earlier one
+    lies in another step, so a burst across the edge of a step is whole in the windows that
+    hold both. Increases are summed into steps once; the steps' sums are repeated for the
+    windows, not the samples. Resets are handled; windows without a sample have no row.
+    """
+    if any(w % slide_sec for w in windows_sec):
+        raise ValueError("windows must be multiples of the slide")
+    slide = slide_sec * 1000
+    steps = (
         _increases(samples, span_us)
-        .groupBy("metric", "_series", start.alias("_start"))
+        .groupBy("metric", "_series", floor_ms(F.floor(F.col("_us") / 1000), slide).alias("_step"))
         .agg(F.sum("increase").alias("increase"))
-        .select(
-            "metric",
-            F.to_json(F.map_from_entries("_series")).alias("series"),
-            F.map_from_entries("_series").alias("labels"),
-            F.timestamp_millis("_start").alias("window_start"),
-            "increase",
-            (F.col("increase") / float(window_sec)).alias("rate"),
-        )
     )
 
+    def windows(sec: int) -> Column:
+        starts = F.sequence(F.col("_step") - (sec * 1000 - slide), F.col("_step"), F.lit(slide))
+        return F.transform(starts, lambda start: F.struct(F.lit(sec).cast("long").alias("window_sec"), start.alias("start")))
+
+    summed = (
+        steps.withColumn("_w", F.explode(F.concat(*map(windows, windows_sec))))
+        .groupBy("metric", "_series", "_w")
+        .agg(F.sum("increase").alias("increase"))
+    )
+    if list(windows_sec) == [slide_sec]:  # every step is its own window
+        window = F.struct(F.lit(slide_sec).cast("long").alias("window_sec"), F.col("_step").alias("start"))
+        summed = steps.withColumn("_w", window)
+    return summed.select(
+        "metric",
+        F.to_json(F.map_from_entries("_series")).alias("series"),
+        F.map_from_entries("_series").alias("labels"),
+        F.col("_w.window_sec").alias("window_sec"),
+        F.timestamp_millis("_w.start").alias("window_start"),
+        "increase",
+        (F.col("increase") / F.col("_w.window_sec").cast("double")).alias("rate"),
+    )
+
+
+def counter_rate(
+    samples: DataFrame, window_sec: int, span_us: int | None = HOUR_US, slide_sec: int | None = None
+) -> DataFrame:
+    """``counter_rates`` of one window length, tumbling unless ``slide_sec`` says otherwise."""
+    return counter_rates(samples, [window_sec], slide_sec or window_sec, span_us).drop("window_sec")
+
 
 def _label_columns(labels: Sequence[str]) -> list[Column]:
     return [label(name).alias(name) for name in labels]
@@ -202,9 +233,9 @@ def health_score(rates: DataFrame, rate: str = "rate") -> DataFrame:
     return rates.withColumn("health", 100.0 - F.col(rate) * 10.0)
 
 
-def idle_to_busy_pct(samples: DataFrame, window_sec: int = 300) -> DataFrame:
+def idle_to_busy_pct(samples: DataFrame, window_sec: int = 300, slide_sec: int | None = None) -> DataFrame:
     """Busy share per instance and window from counters of idle seconds."""
-    idle = counter_rate(samples.where(label("mode") == "idle"), window_sec)
+    idle = counter_rate(samples.where(label("mode") == "idle"), window_sec, slide_sec=slide_sec)
     mean = avg_by(idle, ["instance"], "rate", also=["window_start"])
     return mean.select("window_start", "instance", (100.0 - F.col("rate") * 100.0).alias("busy_pct"))
 
@@ -304,3 +335,66 @@ def domain_metrics(messages: DataFrame, alarms: DataFrame, **state_options) -> D
     )
     out = received.unionByName(dropped).unionByName(node_rows).unionByName(fleet_rows)
     return out.select("metric", "labels", F.col("value").cast("double").alias("value"))
+
+
+def _event(metric: str, when: Column, change: Column | int = 1, **labels) -> Column:
+    """One change of one series, null unless ``when``; labels stand in the order of their names."""
+    entry = lambda k, v: F.struct(F.lit(k).alias("key"), (v if isinstance(v, Column) else F.lit(v)).alias("value"))
+    none = F.lit([]).cast("array<struct<key:string,value:string>>")
+    series = F.array(*[entry(k, labels[k]) for k in sorted(labels)]) if labels else none
+    change = (change if isinstance(change, Column) else F.lit(change)).cast("long")
+    return F.when(when, F.struct(F.lit(metric).alias("metric"), series.alias("series"), change.alias("change")))
+
+
+def _changes(df: DataFrame, at_ms: Column, step_ms: int, events: Sequence[Column]) -> DataFrame:
+    """Changes of series summed per step, from one pass over ``df``."""
+    step = floor_ms(at_ms, step_ms) + step_ms
+    return (
+        df.select(step.alias("ms"), F.explode(F.array_compact(F.array(*events))).alias("_e"))
+        .groupBy("_e.metric", "_e.series", "ms")
+        .agg(F.sum("_e.change").alias("change"))
+    )
+
+
+def domain_samples(messages: DataFrame, alarms: DataFrame, step_sec: int = 60, **state_options) -> DataFrame:
+    """The domain counters and the down-node gauge as samples ``(ts, metric, labels, value)``.
+
+    A series has a sample at the end of every step in which it changes, with all it has
+    counted so far. Messages count when they arrive (``timestamp``), alarms when they reach
+    the feed (``created_at``, or else their event time). ``domain_metrics`` has the last
+    value of each series. Messages are parsed once and alarms folded once.
+    """
+    step_ms = step_sec * 1000
+    ok, named = F.col("reject").isNull(), F.col("node_id") != ""
+    received = _changes(
+        decode_cdc(messages), F.unix_millis("timestamp"), step_ms,
+        [
+            _event("messages_total", ok & named, topic=F.col("topic"), status="ok"),
+            _event("errors_total", ~ok, type="json_unmarshal", operation="kafka"),
+            _event("messages_skipped_total", ok & ~named, reason="empty_node_id"),
+        ],
+    )
+    node, closes = F.col("node_id"), F.coalesce(closes_outage(), F.lit(False))
+    was_up, first = F.coalesce(~F.col("prev.down"), F.lit(False)), F.col("prev").isNull()
+    flap = F.col("event_time") - F.col("prev.event_time") < FLAP_MS
+    moved = lambda when, a, b: _event("node_state_transitions_total", when, node_id=node, from_state=a, to_state=b)
+    folded = _changes(
+        with_previous_state(alarms, **state_options), F.coalesce(F.unix_millis("created_at"), "event_time"), step_ms,
+        [
+            moved(F.col("down") & first, "", "DOWN"),
+            moved(F.col("down") & was_up, "UP", "DOWN"),
+            moved(closes, "DOWN", "UP"),
+            _event("node_flaps_total", closes & flap, node_id=node),
+            _event("cache_misses_total", first),
+            _event("interval_records_total", closes),
+            _event("active_down_nodes", down_delta() != 0, down_delta()),
+        ],
+    )
+    # a series has a row a step at most, so a plain window holds and the messages are read once
+    so_far = Window.partitionBy("metric", "series").orderBy("ms").rowsBetween(Window.unboundedPreceding, 0)
+    return received.unionByName(folded).select(
+        F.timestamp_millis("ms").alias("ts"),
+        "metric",
+        F.map_from_entries("series").alias("labels"),
+        F.sum("change").over(so_far).cast("double").alias("value"),
+    )

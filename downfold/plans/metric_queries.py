@@ -141,6 +141,13 @@ def _counter_rate(df: DataFrame) -> DataFrame:
     return metrics.counter_rate(df, 3600, measured_span(by_us, "us")).drop("labels")
 
 
+def _sliding_rates(df: DataFrame) -> DataFrame:
+    by_us = df.select(F.unix_micros("ts").alias("us"))
+    rates = metrics.counter_rates(df, (60, 120, 300), 60, measured_span(by_us, "us"))
+    summed = metrics.sum_by(rates, ["mode"], "increase", also=["window_sec", "window_start"])
+    return summed.withColumn("rate", F.col("increase") / F.col("window_sec").cast("double")).drop("increase")
+
+
 LAG_SQL = "created_ms - event_time"
 
 
@@ -162,6 +169,45 @@ def _domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(metrics.domain_metrics(wide, testtables.alarms(spark, sf_dir, "fast")))
 
 
+def _domain_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pin_utc(spark)
+    wide = testtables.cdc_messages(spark, sf_dir, "fast")
+    return comparable(metrics.domain_samples(wide, testtables.alarms(spark, sf_dir, "fast")))
+
+
+def _label_sql(**labels: str) -> str:
+    return " || ".join(f"""'{"{" if not i else ","}"{k}":"' || {v} || '"'""" for i, (k, v) in enumerate(sorted(labels.items()))) + " || '}'"
+
+
+_HEARD = "(epoch_us(ts) // 1000 // 1000)"
+_CLOSES = "pd AND NOT down AND event_time > pt"
+
+
+def _moves_sql(when: str, a: str, b: str) -> str:
+    labels = _label_sql(node_id="node_id", from_state=f"'{a}'", to_state=f"'{b}'")
+    return f"SELECT 'node_state_transitions_total', {labels}, created_ms, 1 FROM states WHERE {when}"
+
+
+DOMAIN_SAMPLES_SQL = f"""WITH {states_sql("fast")}, {MESSAGES_SQL},
+changes(metric, labels, heard, change) AS (
+  SELECT 'messages_total', {_label_sql(topic="topic", status="'ok'")}, {_HEARD}, 1
+    FROM messages WHERE reject IS NULL AND node_id <> ''
+  UNION ALL SELECT 'errors_total', {_label_sql(type="'json_unmarshal'", operation="'kafka'")}, {_HEARD}, 1
+    FROM messages WHERE reject IS NOT NULL
+  UNION ALL SELECT 'messages_skipped_total', {_label_sql(reason="'empty_node_id'")}, {_HEARD}, 1
+    FROM messages WHERE reject IS NULL AND node_id = ''
+  UNION ALL {_moves_sql("down AND pt IS NULL", "", "DOWN")}
+  UNION ALL {_moves_sql("down AND NOT pd", "UP", "DOWN")}
+  UNION ALL {_moves_sql(_CLOSES, "DOWN", "UP")}
+  UNION ALL SELECT 'node_flaps_total', {_label_sql(node_id="node_id")}, created_ms, 1
+    FROM states WHERE {_CLOSES} AND event_time - pt < 10000
+  UNION ALL SELECT 'cache_misses_total', '{{}}', created_ms, 1 FROM states WHERE pt IS NULL
+  UNION ALL SELECT 'interval_records_total', '{{}}', created_ms, 1 FROM states WHERE {_CLOSES}
+  UNION ALL SELECT 'active_down_nodes', '{{}}', created_ms, {DELTA} FROM states WHERE {DELTA} <> 0),
+steps AS (SELECT metric, labels, heard // 60000 * 60000 + 60000 AS ts_ms, sum(change) AS change FROM changes GROUP BY ALL)
+SELECT metric, labels, ts_ms, (sum(change) OVER (PARTITION BY metric, labels ORDER BY ts_ms))::DOUBLE AS value FROM steps"""
+
+
 DOMAIN_SQL = f"""WITH {states_sql("fast")}, {MESSAGES_SQL},
 closed AS (SELECT *, event_time - pt AS ms FROM states WHERE pd AND NOT down AND event_time > pt),
 moves AS (
@@ -349,6 +395,16 @@ QUERIES = {
         _counter_rate,
         f"""WITH {SAMPLES_SQL} SELECT metric, series, {_rate_window_sql(3600)} AS window_start_ms,
   sum(increase) AS increase, sum(increase) / 3600.0::DOUBLE AS rate FROM increases GROUP BY ALL""",
+    ),
+    # sum by (mode) of the rate over 1, 2 and 5 minutes, every minute
+    "counter_rate_sliding": on(
+        _samples,
+        _sliding_rates,
+        f"""WITH {SAMPLES_SQL}, lengths(window_sec) AS (VALUES (60), (120), (300)),
+steps AS (SELECT mode, {_rate_window_sql(60)} AS step, sum(increase) AS increase FROM increases GROUP BY ALL)
+SELECT mode, window_sec::BIGINT AS window_sec, start AS window_start_ms, sum(increase) / window_sec::DOUBLE AS rate
+FROM (SELECT mode, increase, window_sec, unnest(generate_series(step - window_sec * 1000 + 60000, step, 60000)) AS start
+  FROM steps, lengths) GROUP BY mode, window_sec, start""",
     ),
     "sum_by": on(
         _samples,
@@ -480,6 +536,7 @@ FROM increases WHERE mode = 'idle' GROUP BY ALL""",
 WHERE duration_ms < 10000 GROUP BY 1 HAVING count(*) >= 5""",
     ),
     "domain_metrics": Query(_domain, DOMAIN_SQL),
+    "domain_metrics_over_time": Query(_domain_samples, DOMAIN_SAMPLES_SQL),
     "evaluate_threshold": on(
         intervals("fast"),
         lambda df: alerts.evaluate_threshold(

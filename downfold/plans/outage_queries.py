@@ -1,11 +1,12 @@
 """Registered queries on messages, alarms, states, intervals and the SLA rollup."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from downfold.constants import BANDS
 from downfold.functions import scalar
 from downfold.functions.ordered import measured_span
-from downfold.operators import decode, filters, outages, sla, state
+from downfold.functions.scalar import ceil_ms
+from downfold.operators import decode, filters, metrics, outages, sla, state
 from downfold.plans.tables import (
     DAY,
     INTERVAL_COLUMNS,
@@ -13,14 +14,17 @@ from downfold.plans.tables import (
     REPEATED_SQL,
     SHARD_SQL,
     TTL,
+    Query,
     alarms,
     alarms_sql,
+    comparable,
     intervals,
     intervals_sql,
     messages,
     on,
     states_sql,
 )
+from downfold.session import pin_utc
 from downfold.sources import testtables
 
 FIRST, LAST = "2024-01-10 00:00:00", "2024-01-20 23:59:59.999"
@@ -94,12 +98,40 @@ def _bands(df: DataFrame) -> DataFrame:
     return out
 
 
+def _pipeline_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps at which each gauge of the pipeline was in each of its bands, minute by minute."""
+    pin_utc(spark)
+    table = testtables.alarms(spark, sf_dir, "fast")
+    errors = decode.reject_malformed(decode.decode_cdc(testtables.cdc_messages(spark, sf_dir, "fast")))
+    minute = ceil_ms(F.unix_millis("created_at"), 60_000)
+    late = metrics.ingest_lag(table).where(F.col("lag_ms") > 0).groupBy(minute.alias("at"))
+    values = [
+        ("down_nodes", state.active_down_series(table), F.col("active_down").cast("double")),
+        ("error_rate", metrics.event_rate(errors, "timestamp", 300, 60), F.col("rate")),
+        ("lag", late.agg(F.max_by("lag_ms", "id").alias("lag_ms")), F.col("lag_ms") / 1000.0),
+    ]
+    parts = [
+        outages.with_band(df.select(value.alias("value")), "value", panel).groupBy(F.lit(panel).alias("panel"), "band").count()
+        for panel, df, value in values
+    ]
+    return comparable(parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumnRenamed("count", "n"))
+
+
 def _band_sql(value: str, panel: str) -> str:
     steps = BANDS[panel]
     whens = " ".join(f"WHEN {value} >= {b} THEN '{band}'" for b, band in reversed(steps) if b is not None)
     return f"CASE WHEN {value} IS NULL THEN NULL {whens} ELSE '{steps[0][1]}' END"
 
 
+PIPELINE_BANDS_SQL = f"""WITH {states_sql("fast")}, {MESSAGES_SQL},
+steps AS (SELECT (event_time + 59999) // 60000 AS t, sum({DELTA}) AS d FROM states GROUP BY 1),
+down_nodes AS (SELECT sum(d) OVER (ORDER BY t) AS v FROM steps),
+errs AS (SELECT epoch_us(ts) // 1000 // 1000 // 60000 AS t FROM messages WHERE reject IS NOT NULL),
+error_rate AS (SELECT count(*) / 300.0::DOUBLE AS v FROM (SELECT unnest(generate_series(t - 4, t)) AS s FROM errs) GROUP BY s),
+lag AS (SELECT arg_max(created_ms - event_time, id) / 1000.0::DOUBLE AS v FROM alarms WHERE created_ms > event_time
+  GROUP BY (created_ms + 59999) // 60000)
+{" UNION ALL ".join(f"SELECT '{p}' AS panel, {_band_sql('v', p)} AS band, count(*) AS n FROM {p} GROUP BY 2" for p in ("down_nodes", "error_rate", "lag"))}"""
+
 BANDS_SQL = f"""WITH {intervals_sql("fast")},
 kpi AS (SELECT count(*) AS outages, {MEAN_SEC} AS avg_duration, max(duration_ms) / 1000.0 AS max_duration,
   count(DISTINCT node_id) AS affected_nodes, {UPTIME} AS uptime FROM intervals)
@@ -371,6 +403,7 @@ FROM intervals ORDER BY down_ms DESC, node_id, up_ms LIMIT 200""",
         "fast",
     ),
     "threshold_band": on(intervals("fast"), _bands, BANDS_SQL),
+    "threshold_band_pipeline": Query(_pipeline_bands, PIPELINE_BANDS_SQL),
     # rollup and SLA
     "daily_node_partials": _on_intervals(sla.daily_node_partials, PARTIALS_SQL),
     "daily_node_stats": _on_intervals(lambda df: sla.daily_node_stats(_partials_by_batch(df)), PARTIALS_SQL),

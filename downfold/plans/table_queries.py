@@ -196,6 +196,26 @@ def _minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.schema(per_minute.schema).parquet(out))
 
 
+def _final_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode: a minute is written once, when the watermark passes it, and leaves the state.
+
+    Intervals arrive in two files, those that began later in the second.
+    """
+    pin_utc(spark)
+    landed, out = work_folder(spark, "landed"), work_folder(spark, "final-minutes")
+    source = tables.read_intervals(spark, _interval_table(spark, sf_dir))
+    middle = source.agg(F.percentile_approx(F.unix_millis("down_at"), 0.5)).first()[0] or 0
+    for later in (False, True):
+        part = source.where((F.unix_millis("down_at") > middle) == later)
+        part.coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(NODE_INTERVALS).option("maxFilesPerTrigger", 1).parquet(landed)
+    minutes = outages.outages_over_time_stream(stream)
+    writer = minutes.writeStream.format("parquet").outputMode("append")
+    writer = writer.option("checkpointLocation", work_folder(spark, "checkpoint"))
+    writer.trigger(**AT_ONCE).start(out).awaitTermination()
+    return comparable(spark.read.schema(minutes.schema).parquet(out))
+
+
 INTERVALS_SQL = f"WITH {intervals_sql()}\nSELECT {INTERVAL_COLUMNS} FROM intervals"
 
 QUERIES = {
@@ -245,6 +265,12 @@ WHERE down_ms >= (SELECT max(up_ms) FROM intervals) - 3600000 GROUP BY 1) SELECT
     "interval_job_sla_report": Query(_job_report, f"WITH {intervals_sql()}\n{SLA_SQL}"),
     "interval_job_node_state": Query(_job_state, PLAIN["latest_node_state"].sql),
     "daily_rollup_stream": Query(_rollup, f"WITH {intervals_sql()}\n{PARTIALS_SQL}"),
+    "outages_over_time_append": Query(
+        _final_minutes,
+        f"""WITH {intervals_sql()} SELECT down_ms // 60000 * 60000 AS time_ms, count(*) AS outages,
+  {MEAN_SEC} AS avg_duration_sec
+FROM intervals GROUP BY 1 HAVING down_ms // 60000 * 60000 + 60000 <= (SELECT max(down_ms) FROM intervals) - 172800000""",
+    ),
     "outages_over_time_stream": Query(
         _minutes,
         f"""WITH {intervals_sql('fast')}

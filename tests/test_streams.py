@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from downfold.operators import decode, sla, state
+from downfold.operators import decode, outages, sla, state
 from downfold.schemas import CDC_MESSAGES
 from downfold.session import work_folder
 from downfold.sources import alarms as alarm_source, intervals as tables, testtables
@@ -183,3 +183,22 @@ def test_feed_is_folded_in_arrival_order(spark, cuts):
             assert rollup.start_interval_sink(keyed, out, cp, ONCE).awaitTermination(120)
     assert seconds(tables.read_intervals(spark, f"{root}/intervals")) == expected
     assert seconds(tables.read_intervals(spark, out)) == expected
+
+
+def test_final_minutes_leave_the_state(spark):
+    """Append mode: minutes come out once the watermark has passed, and only later ones are kept."""
+    landed, out = work_folder(spark, "landed"), work_folder(spark, "out")
+    for hours in (range(3), range(3, 6)):
+        rows = [("A", h * 3600 + s, h * 3600 + s + 7) for h in hours for s in (0, 5, 70)]
+        intervals(spark, rows).coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(intervals(spark, []).schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    minutes = outages.outages_over_time_stream(stream, lateness="1 hour")
+    writer = minutes.writeStream.format("parquet").outputMode("append").option("checkpointLocation", work_folder(spark, "cp"))
+    query = writer.trigger(**ONCE).start(out)
+    assert query.awaitTermination(120)
+    got = sorted((int(r.time.timestamp()) if r.time.tzinfo else r.time.timestamp(), r.outages) for r in spark.read.parquet(out).collect())
+    expected = [(h * 3600 + m * 60, 2 - m) for h in range(5) for m in range(2)]
+    # the watermark is an hour before 5:01:10
+    assert got == [e for e in expected if e[0] + 60 <= 4 * 3600 + 70]
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(kept) > kept[-1] == 12 - len(got)
