@@ -8,12 +8,12 @@ holds moves the window by m - 1 words, so most of a clean text is never looked a
 """
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from downfold.llm.common import md5_halves, rows_of
+from downfold.llm.common import md5_halves, rows_of, written
 
 WINDOW = 10
 #: Bytes of benchmark text that one search table holds; larger benchmarks are searched in several passes.
@@ -107,13 +107,14 @@ def _searcher(shared, window: int, columns: list[str]):
     return search
 
 
-def _passes(benchmark: DataFrame, pass_bytes: int) -> list[list[tuple[str, bytes | None]]]:
-    """The items in groups of about ``pass_bytes`` of text, fetched a group at a time."""
+def _passes(benchmark: DataFrame, pass_bytes: int) -> tuple[int, Callable[[int], list[tuple[str, bytes | None]]]]:
+    """The number of groups of about ``pass_bytes`` of text, at most one an item, and what fetches the items of one."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text"))
-    total = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
-    parts = -(-total // pass_bytes)
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)
+    total, count = items.agg(F.coalesce(size, F.lit(0)), F.count("*")).first()
+    parts = max(1, min(-(-total // pass_bytes), count))
     part = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
-    return [[(r["item"], r["text"]) for r in items.filter(part == p).collect()] for p in range(parts)]
+    return parts, lambda p: [(r["item"], r["text"]) for r in items.filter(part == p).collect()]
 
 
 def benchmark_hits(
@@ -129,32 +130,40 @@ def benchmark_hits(
     ones too, and other columns are ignored. An empty benchmark finds nothing.
 
     The benchmark is the one thing sent to every task, in tables of at most ``pass_bytes``
-    of text; a larger benchmark takes one pass over the documents per table, and the passes
-    are merged by row.
+    of text; a larger benchmark takes one pass over the documents per table. One table is
+    fetched, sent and let go at a time; what a pass finds is written, and the passes are
+    merged by row. A text of any length is searched whole by one task.
     """
     context = docs.sparkSession.sparkContext
     rows = docs.select(*carry, F.col("text").cast("binary").alias("_text"))
     kinds = "n_words long, hits array<struct<from: long, to: long>>, items array<string>"
 
-    def searched(given: DataFrame, items: list) -> DataFrame:
+    def searched(given: DataFrame, shared) -> DataFrame:
         kept = [c for c in given.columns if c != "_text"]
         schema = given.select(*kept).schema
         for field in rows_of(docs, kinds).schema:
             schema = schema.add(field)
-        return given.mapInArrow(_searcher(context.broadcast(items), window, kept), schema)
+        return given.mapInArrow(_searcher(shared, window, kept), schema)
 
     tidy = F.array_sort(F.array_distinct(F.filter("items", lambda x: x.isNotNull())))
-    groups = _passes(benchmark, pass_bytes) or [[]]
-    if len(groups) == 1:
-        return searched(rows, groups[0]).withColumn("items", tidy)
+    parts, fetched = _passes(benchmark, pass_bytes)
+    if parts == 1:
+        return searched(rows, context.broadcast(fetched(0))).withColumn("items", tidy)
     # rows that agree in all carried columns and the text are found alike in each pass: count them once
     keyed = docs.select(*carry, F.col("text").cast("binary").alias("_text"), *md5_halves(F.col("text")))
     key = [*carry, "t1", "t2"]
     all_passes = None
-    for items in groups:
-        one = searched(keyed, items).groupBy(*key).agg(
+    for p in range(parts):
+        items = fetched(p)
+        if not items and all_passes is not None:
+            continue
+        shared = context.broadcast(items)
+        one = searched(keyed, shared).groupBy(*key).agg(
             F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("hits").alias("hits"), F.first("items").alias("items")
         )
+        # the first pass names all rows, later ones those in which they find something
+        one = written(one if all_passes is None else one.filter(F.size("hits") > 0), "benchmark-hits")
+        shared.destroy()
         all_passes = one if all_passes is None else all_passes.unionByName(one)
     merged = all_passes.groupBy(*key).agg(
         F.first("copies").alias("copies"),

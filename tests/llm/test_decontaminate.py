@@ -74,3 +74,31 @@ def test_clean_keeps_columns_and_clean_rows(spark):
     kept = decontaminate.clean(docs, benchmark(spark, ITEMS))
     assert kept.columns == docs.columns
     assert sorted(map(repr, (r.doc_id for r in kept.collect()))) == sorted(repr(b[0]) for b in brute(DOCS, ITEMS) if not b[5])
+
+
+def test_one_table_is_sent_at_a_time(spark, monkeypatch):
+    """Ten passes and more: each table is let go before the next is fetched."""
+    live, most = [], []
+    context = type(spark.sparkContext)
+    plain = context.broadcast
+
+    def counted(self, value):
+        sent = plain(self, value)
+        release = sent.destroy
+        live.append(sent)
+        most.append(len(live))
+        sent.destroy = lambda blocking=False: (live.remove(sent), release(blocking))
+        return sent
+
+    monkeypatch.setattr(context, "broadcast", counted)
+    items = [(n, f"item number {n} of them") for n in range(40)]
+    docs = [(n, f"see item number {n} of them") for n in range(0, 60, 5)]
+    got = decontaminate.contamination(documents(spark, docs), benchmark(spark, items), pass_bytes=300)
+    assert rows(got) == brute(docs, items)
+    assert len(most) >= 10 and max(most) == 1 and not live
+
+
+def test_very_long_text(spark):
+    long = "w " * 300_000 + " ".join(SENTENCE[:25]) + " v" * 300_000
+    (row,) = decontaminate.contamination(documents(spark, [(1, long)]), benchmark(spark, ITEMS[:2])).collect()
+    assert (row.n_words, row.n_hit, row["items"]) == (600_025, 25, ["1"])
