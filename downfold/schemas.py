@@ -76,8 +76,10 @@ DAILY_PARTIALS = _struct(
     incidents=LongType(),
 )
 
-# Node state of the interval job; seen_ms is the time of the micro-batch that last refreshed a node.
+# Node state of the interval job; seen_ms is the time of the micro-batch that last refreshed a
+# node, bucket a hash of the node.
 JOB_STATE = _struct(
+    bucket=IntegerType(),
     node_id=StringType(),
     id=LongType(),
     event_time=LongType(),

@@ -19,7 +19,7 @@ import json
 import time
 import uuid
 from collections import defaultdict
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from datetime import date
 from typing import NamedTuple
 
@@ -145,10 +145,11 @@ class DayTable:
             tuple((at, day, name) for at, day, name in found["dropped"]),
         )
 
-    def commit(self, rows: DataFrame, batch_id: int | None = None) -> bool:
+    def commit(self, rows: DataFrame, batch_id: int | None = None, merge: bool = True) -> bool:
         """Add a batch; false, with nothing written, if a batch of this id has been added before.
 
-        Without an id the batch takes the next one. Rows of the batch without a day are an error.
+        Without an id the batch takes the next one. Rows of the batch without a day are an
+        error. Without ``merge`` the caller merges at a time of its own.
         """
         before = self.version()
         batch_id = before.next_batch() if batch_id is None else batch_id
@@ -156,7 +157,8 @@ class DayTable:
             return False
         new = self._write(rows, f"b{batch_id}-{uuid.uuid4().hex[:8]}", 0)
         self._publish(before, before.parts + new, before.with_batch(batch_id))
-        self.merge()
+        if merge:
+            self.merge()
         return True
 
     def merge(self, least: int | None = None) -> int:
@@ -198,6 +200,15 @@ class DayTable:
         low, high = (None if d is None else str(d) for d in (first_day, last_day))
         return self._of([p for p in self.version().parts if (low is None or p.day >= low) and (high is None or p.day <= high)])
 
+    def read_days(self, days: Collection) -> DataFrame:
+        """The rows of single days, or of single values of whatever the table is divided by."""
+        wanted = {str(d) for d in days}
+        return self._of([p for p in self.version().parts if p.day in wanted])
+
+    def read_batch(self, batch_id: int) -> DataFrame:
+        """What a batch added, as long as it has not been merged."""
+        return self._of([p for p in self.version().parts if p.name.startswith(f"b{batch_id}-")])
+
     def parts_by_day(self) -> dict[str, int]:
         counts: dict[str, int] = defaultdict(int)
         for part in self.version().parts:

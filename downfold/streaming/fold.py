@@ -17,8 +17,7 @@ from contextlib import contextmanager
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from downfold.constants import DOWN_TRAPS, STATE_TTL_MS
@@ -27,6 +26,7 @@ from downfold.functions.scalar import is_down, utc_day
 from downfold.operators.sla import daily_node_partials
 from downfold.operators.state import ID_SPAN, arrival_column, intervals_of
 from downfold.schemas import JOB_STATE
+from downfold.sources.daytable import DayTable
 from downfold.sources.intervals import write_daily_states, write_intervals
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -155,15 +155,33 @@ def fold_batch(batch: DataFrame, state: DataFrame | None, ttl_ms: int | None, no
     return intervals_of(seen, F.timestamp_millis("arrived_ms").alias("created_ts")), last
 
 
-def _state_slot(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    """State that micro-batch ``batch_id`` wrote, if it got that far."""
-    try:
-        slot = spark.read.schema(JOB_STATE).parquet(f"{root}/state/slot={batch_id % 2}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return slot.where(F.col("batch") == batch_id)
+#: Parts by node in which the job's state is kept, and how long readers of an older state keep it.
+STATE_BUCKETS, STATE_GRACE_MS = 16, 60_000
+
+
+def _bucket() -> Column:
+    return F.pmod(F.crc32(F.col("node_id").cast("binary")), F.lit(STATE_BUCKETS)).cast("int")
+
+
+def _newest(states: DataFrame) -> DataFrame:
+    """Of each node the state of the last batch that touched it."""
+    kept = [F.max_by(c, "batch").alias(c) for c in ("id", "event_time", "down", "seen_ms")]
+    return states.groupBy("bucket", "node_id").agg(*kept, F.max("batch").alias("batch"))
+
+
+def state_table(spark: SparkSession, root: str) -> DayTable:
+    """The job's node state: a batch adds the nodes it touched, merges leave the newest of each node."""
+    return DayTable(
+        spark, f"{root}/state", JOB_STATE, "bucket", ["node_id"], merge=_newest, grace_ms=STATE_GRACE_MS
+    )
+
+
+def _state_before(table: DayTable, batch: DataFrame, batch_id: int) -> DataFrame:
+    """The state that the nodes of a micro-batch had before it; other buckets are not read."""
+    touched = batch.select("node_id", _bucket().alias("bucket")).distinct()
+    buckets = [r["bucket"] for r in touched.select("bucket").distinct().collect()]
+    older = table.read_days(buckets).where(F.col("batch") < batch_id)
+    return _newest(older.join(touched.select("node_id"), "node_id", "left_semi")).drop("bucket")
 
 
 def wall_clock(batch: DataFrame) -> int:
@@ -171,10 +189,9 @@ def wall_clock(batch: DataFrame) -> int:
     return time.time_ns() // 1_000_000
 
 
-def batch_time(spark: SparkSession, root: str, batch_id: int, now: Callable[[], int]) -> int:
+def batch_time(table: DayTable, batch_id: int, now: Callable[[], int]) -> int:
     """Processing time of a micro-batch in epoch ms: the one its state holds if this is a replay, else now."""
-    before = _state_slot(spark, root, batch_id)
-    kept = before.agg(F.max("seen_ms")).first()[0] if before is not None else None
+    kept = table.read_batch(batch_id).agg(F.max("seen_ms")).first()[0]
     return kept if kept is not None else now()
 
 
@@ -204,14 +221,17 @@ def interval_fold(
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        now_ms = batch_time(spark, root, batch_id, lambda: clock(batch))
-        state = _state_slot(spark, root, batch_id - 1) if batch_id else None
+        states = state_table(spark, root)
         batch.persist()
-        intervals, last = fold_batch(batch, state, ttl_ms, now_ms)
+        replayed = states.version().has(batch_id)
+        if not replayed:
+            states.merge()  # now, and not after a commit: a replay needs the state before its batch
+        now_ms = batch_time(states, batch_id, lambda: clock(batch))
+        intervals, last = fold_batch(batch, _state_before(states, batch, batch_id), ttl_ms, now_ms)
         intervals.persist()
         try:
-            stamped = last.withColumn("batch", F.lit(batch_id).cast("long"))
-            stamped.write.mode("overwrite").parquet(f"{root}/state/slot={batch_id % 2}")
+            stamped = last.withColumns({"batch": F.lit(batch_id).cast("long"), "bucket": _bucket()})
+            states.commit(stamped, batch_id, merge=False)
             write_intervals(intervals, f"{root}/intervals", batch_id, clock(batch))
             write_daily_states(daily_node_partials(intervals), f"{root}/daily", batch_id)
         finally:
@@ -232,10 +252,10 @@ def start_interval_job(
 ) -> StreamingQuery:
     """Fold a stream of alarms into ``root/intervals``, ``root/daily`` and ``root/state``.
 
-    The state is a table with one row per node that every micro-batch rewrites into the
-    other of two folders: batch N reads what batch N-1 wrote and replaces what N-2 wrote.
-    A replayed micro-batch therefore starts from the same state, takes the time its first
-    run left with its state, and adds nothing that its first run has committed.
+    A micro-batch reads the state of the nodes it touches and adds their new state; parts
+    of the state are merged now and then. So what it writes follows the batch, not the
+    fleet. A replayed micro-batch starts from the same state, takes the time its first run
+    left with its state, and adds nothing that its first run has committed.
     """
     slim = slim_alarms(alarm_stream, down_traps)
     writer = slim.writeStream.foreachBatch(interval_fold(root, ttl_ms, clock)).option("checkpointLocation", checkpoint)
@@ -244,9 +264,7 @@ def start_interval_job(
 
 def read_node_state(spark: SparkSession, root: str) -> DataFrame:
     """The newest node state a job wrote, as ``latest_node_state`` gives it."""
-    state = spark.read.schema(JOB_STATE).parquet(f"{root}/state")
-    newest = state.agg(F.max("batch")).scalar()
-    return state.where(F.col("batch") == newest).select(
+    return _newest(state_table(spark, root).read()).select(
         "node_id",
         F.when(F.col("down"), "DOWN").otherwise("UP").alias("status"),
         F.timestamp_millis("event_time").alias("last_seen_at"),

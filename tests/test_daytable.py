@@ -180,3 +180,21 @@ def test_recent_question_reads_one_day_and_no_fold(spark):
     assert {f.split("down_day=")[1][:10] for f in recent.inputFiles()} <= {"1970-01-05", "1970-01-06"}
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Exchange" not in plan and "GreaterThanOrEqual(down_at" in plan
+
+
+def test_state_follows_the_batch_not_the_fleet(spark):
+    """Of 5,000 nodes a batch touches ten: ten rows are written, and the others keep their state."""
+    root = work_folder(spark, "job")
+    work = fold.interval_fold(root, ttl_ms=None, clock=lambda _: 1000)
+    work(fold.slim_alarms(alarms(spark, [(f"n{i}", 1417, 0.0) for i in range(5000)])), 0)
+    few = fold.slim_alarms(alarms(spark, [(f"n{i}", 9999, 9.0) for i in range(10)]))
+    work(few.withColumns({"id": F.col("id") + 9000, "ord": F.col("ord") + 9000}), 1)
+    states = fold.state_table(spark, root)
+    assert states.read_batch(1).count() == 10 and states.read().count() == 5010
+    assert tables.read_intervals(spark, f"{root}/intervals").count() == 10
+    states.merge(least=2)
+    assert states.read().count() == 5000
+    counts = {r.status: r.n for r in fold.read_node_state(spark, root).groupBy("status").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"DOWN": 4990, "UP": 10}
+    work(few.withColumns({"id": F.col("id") + 9100, "ord": F.col("ord") + 9100}), 2)
+    assert tables.read_intervals(spark, f"{root}/intervals").count() == 10

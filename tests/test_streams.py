@@ -94,11 +94,11 @@ def test_state_expires_in_the_job(spark):
 
 
 def test_replay_takes_the_time_of_the_first_run(spark):
-    root = work_folder(spark, "root")
-    assert fold.batch_time(spark, root, 0, lambda: 7) == 7
+    states = fold.state_table(spark, work_folder(spark, "root"))
+    assert fold.batch_time(states, 0, lambda: 7) == 7
     _, last = fold.fold_batch(slim(alarms(spark, parse("D@0"))), None, 1000, 5000)
-    last.withColumn("batch", F.lit(0).cast("long")).write.parquet(f"{root}/state/slot=0")
-    assert [fold.batch_time(spark, root, n, lambda: 7) for n in (0, 1, 2)] == [5000, 7, 7]
+    states.commit(last.withColumns({"batch": F.lit(0).cast("long"), "bucket": F.lit(1)}), 0, merge=False)
+    assert [fold.batch_time(states, n, lambda: 7) for n in (0, 1, 2)] == [5000, 7, 7]
     assert fold.wall_clock(last) > 1_600_000_000_000
 
 
