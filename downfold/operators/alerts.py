@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from downfold.constants import DAY_MS, LATENCY_BOUNDS, SHARDS
+from downfold.constants import DAY_MS, LATENCY_BOUNDS, SHARDS, STATE_TTL_MS
 from downfold.functions.ordered import lag_in_key, running_max_in_key, running_sum_in_key
 from downfold.functions.quantiles import bucket_histogram, histogram_quantile
 from downfold.functions.scalar import ceil_ms, floor_ms, round_half_even
@@ -132,6 +132,18 @@ def checked_step(step_ms: int) -> int:
     return step_ms
 
 
+def plausible_span(alarms: DataFrame, slack_ms: int = STATE_TTL_MS) -> DataFrame:
+    """(start_ms, end_ms) of the alarms whose clocks can be right, as a one-row table.
+
+    An alarm counts if it happened within ``slack_ms`` of the time it reached the feed, or if
+    that time is not known. So one device that reports the year 1970 does not stretch the
+    grid of every rule over half a century. Both are null if no alarm counts.
+    """
+    off = F.abs(F.col("event_time") - F.unix_millis("created_at"))
+    right = alarms.where(F.coalesce(off <= slack_ms, F.col("created_at").isNull()))
+    return right.agg(F.min("event_time").alias("start_ms"), F.max("event_time").alias("end_ms"))
+
+
 def evaluation_times(span: DataFrame, step_ms: int = MINUTE) -> DataFrame:
     """Evaluation times from a one-row table ``(start_ms, end_ms)``."""
     return _unfold_times(span.select("start_ms", "end_ms"), step_ms)

@@ -231,14 +231,10 @@ UNION ALL SELECT 'interval_records_total', '{{}}', count(*) FROM closed"""
 # --- alert rules ----------------------------------------------------------------------
 
 
-def _span(df: DataFrame) -> DataFrame:
-    return df.agg(F.min("event_time").alias("start_ms"), F.max("event_time").alias("end_ms"))
-
-
 def _series(spark: SparkSession, sf_dir: str):
     pin_utc(spark)
     table = testtables.alarms(spark, sf_dir, "fast")
-    span = written(_span(table), "span")
+    span = written(alerts.plausible_span(table), "span")
     changes = written(state_changes(with_previous_state(table)), "changes")
     commits_df = commits()(spark, sf_dir)
     wide = testtables.cdc_messages(spark, sf_dir, "fast")

@@ -118,7 +118,7 @@ def repeated_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = F.array_compact(
         F.array(F.lit(0), F.when(event % 7 == 0, 5), F.when(event % 11 == 0, 30))
     )
-    node = F.coalesce(F.get_json_object("value", "$.payload.after.node_id"), F.lit(""))
+    node = F.coalesce(F.get_json_object(F.lower("value"), "$.payload.after.node_id"), F.lit(""))
     place = (event + later) * 3 + F.when(later == 0, 0).when(later == 5, 1).otherwise(2)
     return messages.withColumn("_later", F.explode(again)).select(
         "topic",

@@ -178,3 +178,22 @@ def test_reduce_last_reaches_the_scan(spark, tmp_path):
 def test_a_healthy_fleet_has_data():
     empty = {rule[0]: rule[-1] for rule in alerts.RULE_TABLE}
     assert empty["high_single_outage"] == empty["node_flapping"] == 0.0
+
+
+def test_a_wrong_clock_does_not_stretch_the_grid(spark):
+    """Alarms at time 0 and in the far future leave the evaluation times as they were."""
+    table = testtables.alarms(spark, "/root/testdata/sf0.001")
+    rules = alerts.default_rules(spark)
+    none = spark.createDataFrame([], "rule string, series string, time_ms long, value double")
+    wrong = table.limit(2).withColumn("event_time", F.when(F.col("id") % 2 == 0, 0).otherwise(4_000_000_000_000).cast("long"))
+    plain, odd = (alerts.plausible_span(t) for t in (table, table.unionByName(wrong)))
+    assert plain.first() == odd.first() and plain.first().start_ms > 1_600_000_000_000
+    assert alerts.evaluation_times(plain).count() == alerts.evaluation_times(odd).count()
+    sizes = {alerts.evaluation_grid(rules, none, span, 300_000).count() for span in (plain, odd)}
+    assert len(sizes) == 1
+
+
+def test_span_of_alarms_without_an_arrival(spark):
+    unknown = alarms(spark, parse("D@0 U@9")).withColumn("created_at", F.lit(None).cast("timestamp"))
+    assert tuple(alerts.plausible_span(unknown).first()) == (0, 9000)
+    assert tuple(alerts.plausible_span(alarms(spark, [])).first()) == (None, None)
