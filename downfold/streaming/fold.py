@@ -223,10 +223,11 @@ def interval_fold(
         spark = batch.sparkSession
         states = state_table(spark, root)
         batch.persist()
-        replayed = states.version().has(batch_id)
-        if not replayed:
+        if states.version().has(batch_id):
+            now_ms = batch_time(states, batch_id, lambda: clock(batch))
+        else:
             states.merge()  # now, and not after a commit: a replay needs the state before its batch
-        now_ms = batch_time(states, batch_id, lambda: clock(batch))
+            now_ms = clock(batch)
         intervals, last = fold_batch(batch, _state_before(states, batch, batch_id), ttl_ms, now_ms)
         intervals.persist()
         try:
