@@ -9,7 +9,7 @@ stored as the 64-line words in which something is dropped.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from downfold.llm.common import folded, md5_halves
+from downfold.llm.common import folded, md5_halves, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -68,8 +68,12 @@ def drop_bitmaps(lines: DataFrame, repeated: DataFrame) -> DataFrame:
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, salts: int = SALTS) -> DataFrame:
-    """``drop_bitmaps`` of the lines of ``docs`` that repeat."""
-    lines = line_rows(docs, min_chars)
+    """``drop_bitmaps`` of the lines of ``docs`` that repeat.
+
+    Texts are split and lines hashed once: the table of hashes is written, and the ranges,
+    the runs and the join read it.
+    """
+    lines = written(line_rows(docs, min_chars), "lines")
     return drop_bitmaps(lines, repeated_keys(lines, min_docs, salts))
 
 
