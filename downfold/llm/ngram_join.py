@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from downfold.llm.common import md5_halves, written
 from downfold.llm.components import components
@@ -32,6 +32,8 @@ CHUNK_SHINGLES = 1_000_000
 BUCKET_SHINGLES = 1_000_000
 #: Ranges of shingles counted for the suffix filter.
 RANGES = 128
+#: Classes of one shingle that are ordered together.
+SLICE_CLASSES = 8_192
 #: Bits of a shingle's hash that are kept besides its bucket.
 REST_BITS = 40
 #: Words remembered with their hash by a task.
@@ -209,8 +211,8 @@ def shared_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     return written(back.groupBy("chunk").applyInArrow(_gather(percent), SETS), "sets")
 
 
-def class_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b) for all linked pairs of ``classes`` (cid, n, tokens, ranges)."""
+def prefix_rows(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rarest shingles of each class, which no pair above the threshold can avoid sharing, with what filters need."""
     held = classes.select("cid", "n", F.explode("tokens").alias("token"))
     df = held.groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") > 1)
     own = Window.partitionBy("cid")
@@ -221,63 +223,121 @@ def class_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
         # shingles that no other class has come first; they need no rows
         .withColumn("pos", F.col("n") - F.col("kept") + F.row_number().over(own.orderBy("df", "token")) - 1)
         .filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
-        .select("token", "cid", "pos")
+        .select("token", "cid", "pos", "df")
         .join(classes.select("cid", "n", (F.col("n") - F.size("tokens")).alias("alone"), "ranges"), "cid")
     )
-    prefixes = written(placed, "prefixes")
-    a, b = prefixes.alias("a"), prefixes.alias("b")
-    both = F.col("a.n") + F.col("b.n")
+    return written(placed, "prefixes")
+
+
+def _may_link(percent: int) -> Column:
+    """Length, positional and suffix filters on the rows ``a`` and ``b`` of one shared shingle."""
     wanted = F.expr(f"(({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent})")
     apart = F.aggregate(
         F.zip_with("a.ranges", "b.ranges", lambda x, y: F.abs(x - y).cast("int")), F.lit(0), lambda total, x: total + x
     )
-    pairs = (
-        a.join(
-            b,
-            (F.col("a.token") == F.col("b.token"))
-            & (F.col("a.cid") < F.col("b.cid"))
-            & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
-            & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= wanted)
-            & (F.col("a.alone") + F.col("b.alone") + apart <= both - 2 * wanted),
-        )
-        .select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b"))
-        .distinct()
+    return (
+        (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
+        & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= wanted)
+        & (F.col("a.alone") + F.col("b.alone") + apart <= F.col("a.n") + F.col("b.n") - 2 * wanted)
     )
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The linked ones of distinct ``pairs`` (a, b) of classes."""
     sets = classes.select("cid", "n", "tokens")
-    verified = (
+    both = (
         pairs.join(sets.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
         .join(sets.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
         .withColumn("common", F.size(F.array_intersect("ta", "tb")))
     )
-    return verified.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b")
+    return both.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent).select("a", "b")
 
 
-def group_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, t1, t2 (the text's MD5), n, component (null without a set) and reached."""
-    sets = shared_sets(docs, size, percent)
-    rows = written(docs.select("doc_id", *md5_halves(F.col("text"))), "rows")
-    copies = rows.groupBy("t1", "t2").agg(F.count("*").alias("copies"))
-    key = F.unhex(F.md5(F.concat_ws(",", "n", F.col("tokens").cast("array<string>")).cast("binary")))
-    texts = written(
-        sets.join(copies, ["t1", "t2"]).select("t1", "t2", "n", "copies", F.when(F.col("tokens").isNotNull(), key).alias("cid")),
-        "texts",
+def class_links(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b) for all linked pairs of ``classes`` (cid, n, tokens, ranges)."""
+    prefixes = prefix_rows(classes, percent)
+    a, b = prefixes.alias("a"), prefixes.alias("b")
+    candidates = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.cid") < F.col("b.cid")) & _may_link(percent))
+    return _verified(candidates.select(F.col("a.cid").alias("a"), F.col("b.cid").alias("b")).distinct(), classes, percent)
+
+
+def _ordered(x: Column, y: Column) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _near_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Few candidates that join most of a group: each class with the one before it, and with the
+    one that has the smallest share of shingles of its own, among the classes of a shingle.
+
+    A shingle of many classes is cut into slices, differently for each shingle.
+    """
+    slices = F.ceil(F.col("df") / SLICE_CLASSES)
+    along = Window.partitionBy("token", "slice").orderBy(F.col("alone") / F.col("n"), "cid")
+    row = F.struct("cid", "n", "pos", "alone", "ranges")
+    seen = prefixes.withColumn("slice", F.pmod(F.xxhash64("cid", "token"), slices)).select(
+        row.alias("a"), F.array(F.first(row).over(along), F.lag(row).over(along)).alias("partners")
     )
+    found = seen.select("a", F.explode("partners").alias("b")).filter((F.col("a.cid") != F.col("b.cid")) & _may_link(percent))
+    return found.select(*_ordered(F.col("a.cid"), F.col("b.cid"))).distinct()
+
+
+def class_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(node, component) for every class linked with another, without listing the links in a group.
+
+    A first round verifies few candidates for each class and contracts what they link. The
+    prefix join that follows is exact but takes only classes of different components, and
+    only shingles that classes of different components still share.
+    """
+    prefixes = prefix_rows(classes, percent)
+    first = components(written(_verified(_near_pairs(prefixes, percent), classes, percent), "first-links"))
+    marked = prefixes.join(first.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+        "component", F.coalesce("component", "cid")
+    )
+    marked = written(marked, "marked")
+    shared = marked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    still = written(marked.join(shared.filter("low < high").select("token"), "token", "left_semi"), "open")
+    a, b = still.alias("a"), still.alias("b")
+    apart = a.join(
+        b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") < F.col("b.component")) & _may_link(percent)
+    )
+    more = _verified(apart.select(*_ordered(F.col("a.cid"), F.col("b.cid"))).distinct(), classes, percent)
+    stars = first.select(*_ordered(F.col("node"), F.col("component")))
+    return components(written(stars.unionByName(more), "all-links"))
+
+
+def _classes(sets: DataFrame) -> tuple[Column, DataFrame]:
+    """The class of a text with tokens, and the written table of classes."""
+    key = F.unhex(F.md5(F.concat_ws(",", "n", F.col("tokens").cast("array<string>")).cast("binary")))
     classes = (
         sets.filter(F.col("tokens").isNotNull())
         .withColumn("cid", key)
         .groupBy("cid", "n")
         .agg(F.first("tokens").alias("tokens"), F.first("ranges").alias("ranges"))
     )
-    classes = written(classes, "classes")
+    return F.when(F.col("tokens").isNotNull(), key), written(classes, "classes")
+
+
+def _inside(percent: int) -> Column:
+    """Whether texts of one class are linked."""
+    common = F.size("tokens")
+    return common * 100 >= (F.col("n") * 2 - common) * percent
+
+
+def group_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, t1, t2 (the text's MD5), n, component (null without a set) and reached."""
+    sets = shared_sets(docs, size, percent)
+    rows = written(docs.select("doc_id", *md5_halves(F.col("text"))), "rows")
+    copies = rows.groupBy("t1", "t2").agg(F.count("*").alias("copies"))
+    cid, classes = _classes(sets)
+    texts = written(sets.join(copies, ["t1", "t2"]).select("t1", "t2", "n", "copies", cid.alias("cid")), "texts")
     links = written(class_links(classes, percent), "class-links")
     weights = texts.filter(F.col("cid").isNotNull()).groupBy("cid").agg(F.sum("copies").alias("members"))
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     linked = (
         both.join(weights, F.col("b") == F.col("cid")).groupBy(F.col("a").alias("cid")).agg(F.sum("members").alias("outside"))
     )
-    common = F.size("tokens")
     of_class = (
-        classes.select("cid", (common * 100 >= (F.col("n") * 2 - common) * percent).alias("inside"))
+        classes.select("cid", _inside(percent).alias("inside"))
         .join(weights, "cid")
         .join(linked, "cid", "left")
         .join(components(links).withColumnRenamed("node", "cid"), "cid", "left")
@@ -299,6 +359,18 @@ def group_rows(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     return written(rows.join(grouped, ["t1", "t2"]), "placed")
 
 
+def text_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(t1, t2, component) of each distinct text with a set; links are not counted."""
+    sets = shared_sets(docs, size, percent)
+    cid, classes = _classes(sets)
+    found = class_components(classes, percent).withColumnRenamed("node", "cid")
+    of_class = classes.select("cid", _inside(percent).alias("inside")).join(found, "cid", "left")
+    of_class = of_class.select("cid", F.coalesce("component", F.when(F.col("inside"), F.col("cid"))).alias("component"))
+    texts = sets.filter(F.col("n") > 0).select("t1", "t2", cid.alias("cid")).join(of_class, "cid", "left")
+    own = F.concat_ws("/", "t1", "t2").cast("binary")
+    return texts.select("t1", "t2", F.coalesce("component", own).alias("component"))
+
+
 def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links.
 
@@ -325,21 +397,28 @@ def one_per_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     """The rows of ``docs``, with all their columns, that head their group: smallest doc_id, null last.
 
     Rows without a set all stay. Of rows with one that agree in doc_id and text one stays, the
-    same in every run: the least by a hash of the other columns.
+    same in every run: the least by a hash of the other columns. An empty table gives an empty
+    result. Texts of any length are taken whole: a text's set is one array of its shared
+    shingles, eight bytes each. Extra columns keep their names and values.
     """
-    placed = group_rows(docs, size, percent)
-    grouped = placed.filter(F.col("component").isNotNull())
+    texts = text_components(docs, size, percent)
+    grouped = docs.select("doc_id", *md5_halves(F.col("text"))).join(texts, ["t1", "t2"])
+    grouped = written(grouped.groupBy("t1", "t2", "doc_id", "component").agg(F.count("*").alias("rows")), "grouped")
     name = F.struct(F.col("doc_id").isNull(), "doc_id", "t1", "t2")
     heads = grouped.groupBy("component").agg(F.min(name).alias("head"))
-    gone = grouped.join(heads, "component").filter(name != F.col("head")).select("doc_id", "t1", "t2").distinct()
-    gone = written(gone, "gone").select(F.col("doc_id").alias("g0"), F.col("t1").alias("g1"), F.col("t2").alias("g2"))
+    # most rows are alone in their group and stay; only the others are looked for among the texts
+    told = grouped.join(heads, "component").select(
+        F.col("doc_id").alias("g0"),
+        F.col("t1").alias("g1"),
+        F.col("t2").alias("g2"),
+        F.when(name != F.col("head"), "gone").when(F.col("rows") > 1, "repeated").alias("fate"),
+    )
+    told = written(told.filter(F.col("fate").isNotNull()), "told")
     t1, t2 = md5_halves(F.col("text"))
     others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
-    has_set = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    lone = F.when(~has_set, F.monotonically_increasing_id())
-    whole = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", t1, t2, F.xxhash64(others).alias("order"), lone.alias("lone")
-    )
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = docs.select(packed.alias("whole"), "doc_id", t1, t2, F.xxhash64(others).alias("order"))
     same = (F.col("t1") == F.col("g1")) & (F.col("t2") == F.col("g2")) & F.col("doc_id").eqNullSafe(F.col("g0"))
-    kept = whole.join(gone, same, "left_anti").groupBy("t1", "t2", "doc_id", "lone")
-    return kept.agg(F.min_by("whole", "order").alias("whole")).select("whole.*")
+    alone = whole.join(told, same, "left_anti").select("whole")
+    repeated = whole.join(told.filter("fate = 'repeated'"), same, "left_semi").groupBy("t1", "t2", "doc_id")
+    return alone.unionByName(repeated.agg(F.min_by("whole", "order").alias("whole")).select("whole")).select("whole.*")

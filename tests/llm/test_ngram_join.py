@@ -106,3 +106,18 @@ def test_rows_without_a_set_all_stay(spark):
     assert without == sorted((d or 0, t or "", s) for d, t, s in blank)
     chosen = [ngram_join.one_per_group(documents(spark, order).coalesce(1)).collect() for order in (again, again[::-1])]
     assert len(chosen[0]) == 1 and chosen[0] == chosen[1]
+
+
+def test_groups_without_listing_their_links(spark, monkeypatch):
+    """Slices of few classes, so that groups come together through several shingles and the join that follows."""
+    monkeypatch.setattr(ngram_join, "SLICE_CLASSES", 4)
+    texts = [t for seed, edits in ((1, 2), (2, 6), (3, 9)) for t in variants(seed, 40, 60, edits)]
+    given = [(5 * i + 2, t) for i, t in enumerate(texts)]
+    kept = ngram_join.one_per_group(documents(spark, given, extra=True), 5, 80)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, n, head, _ in brute(given, 5, 80) if d == head)
+
+
+def test_nothing_to_group(spark):
+    nothing = documents(spark, [], extra=True)
+    kept = ngram_join.one_per_group(nothing)
+    assert kept.columns == nothing.columns and rows(kept) == []
