@@ -62,27 +62,96 @@ PRIOR_WEIGHT = 20.0
 ROUNDS = 60
 ADD_AT = 0.9
 
-_SPAN = "array<struct<start: int, end: int, match: string>>"
+_SPAN = "array<struct<start: int, end: int, match: string, before: string, after: string>>"
+#: Arrays are gone through in blocks of this length: an append copies what is there already.
+BLOCK = 256
 
 
-def _matches(text: Column, pattern: str, wanted, where: Column | None = None) -> Column:
-    """The matches of ``pattern`` that ``wanted`` accepts, with their places in code points.
+def _blocks(values: str) -> Column:
+    """The array ``values`` in blocks. It must be a column: an expression would be worked out again for each block."""
+    last = F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * BLOCK + 1, F.lit(BLOCK)))
 
-    The pieces between matches and the matches together give every place.
+
+def _along(block: Column, first: Column, merge) -> Column:
+    """For each element of ``block`` what ``merge`` makes of ``first`` and the elements before it."""
+
+    def step(acc, x):
+        return F.struct(merge(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    none = F.array().cast("array<int>")
+    return F.aggregate(block, F.struct(first.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+
+def with_running(df: DataFrame, values: str, into: str, merge, zero: Column) -> DataFrame:
+    """Add ``into``: for each element of the array of int ``values`` what ``merge`` makes of all before it.
+
+    ``zero`` is what ``merge`` leaves others as they are with. Blocks are merged first and gone
+    through with what comes before them, so time grows with the array and not with its square.
     """
+    df = df.withColumn("_blocks", _blocks(values))
+    df = df.withColumn("_whole", F.transform("_blocks", lambda block: F.aggregate(block, zero, merge)))
+    before = _along(F.col("_whole"), zero, merge)
+    found = F.flatten(F.zip_with("_blocks", before, lambda block, first: _along(block, first, merge)))
+    return df.withColumn(into, found).drop("_blocks", "_whole")
+
+
+def _pieces(text: Column, pattern: str, where: Column) -> Column:
+    """The text cut at the matches of ``pattern``: what lies before each match, and the match; null after the last."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    steps = F.zip_with(F.split(text, pattern, -1), found, lambda gap, match: F.struct(F.char_length(gap).alias("gap"), match.alias("match")))
 
-    def step(acc, x):
-        start = acc["at"] + x["gap"]
-        end = start + F.coalesce(F.char_length(x["match"]), F.lit(0))
-        span = F.array(F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match")))
-        taken = x["match"].isNotNull() & wanted(x["match"])
-        return F.struct(end.alias("at"), F.when(taken, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def piece(gap, match):
+        return F.struct(
+            F.char_length(gap).alias("gap"),
+            F.coalesce(F.char_length(match), F.lit(0)).alias("length"),
+            F.substring(gap, -BEFORE, BEFORE).alias("tail"),
+            F.substring(F.concat(gap, F.coalesce(match, F.lit(""))), 1, 1).alias("head"),
+            match.alias("match"),
+        )
+
+    return F.when(where, F.zip_with(F.split(text, pattern, -1), found, piece))
 
-    none = F.array().cast(_SPAN)
-    spans = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return spans if where is None else F.when(where, spans).otherwise(none)
+
+def _block_lengths(blocks: str) -> Column:
+    return F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + x["length"]))
+
+
+def _spans(pieces: str, blocks: str, lengths: str, wanted) -> Column:
+    """The matches that ``wanted`` accepts, with their places in code points and what stands beside them.
+
+    What stands before a match is carried along, since to look for it in the text would be to
+    count code points from the start of the text at each match.
+    """
+
+    def ended(tail, x):
+        return F.substring(F.concat(tail, x["tail"], F.coalesce(x["match"], F.lit(""))), -BEFORE, BEFORE)
+
+    # a whole block has more than BEFORE characters, since no match has fewer than two
+    tails = F.transform(blocks, lambda block: F.aggregate(block, F.lit(""), ended))
+    firsts = F.zip_with(
+        _along(F.col(lengths), F.lit(0), lambda a, b: a + b),
+        F.concat(F.array(F.lit("")), F.slice(tails, F.lit(1), F.size(blocks) - 1)),
+        lambda at, tail: F.struct(at.alias("at"), tail.alias("tail")),
+    )
+
+    def along(block, first):
+        def step(acc, x):
+            start = acc["at"] + x["gap"]
+            end = start + x["length"]
+            before = F.substring(F.concat(acc["tail"], x["tail"]), -BEFORE, BEFORE)
+            span = F.struct(
+                start.alias("start"), end.alias("end"), x["match"].alias("match"), before.alias("before"), F.lit("").alias("after")
+            )
+            return F.struct(end.alias("at"), ended(acc["tail"], x).alias("tail"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+        begin = F.struct(first["at"].alias("at"), first["tail"].alias("tail"), F.array().cast(_SPAN).alias("out"))
+        return F.aggregate(block, begin, step, lambda acc: acc["out"])
+
+    spans = F.flatten(F.zip_with(blocks, firsts, along))
+    heads = F.slice(F.transform(pieces, lambda x: x["head"]), F.lit(2), F.size(pieces))
+    beside = F.zip_with(spans, heads, lambda span, head: span.withField("after", F.coalesce(head, F.lit(""))))
+    taken = F.filter(beside, lambda span: span["match"].isNotNull() & wanted(span["match"]))
+    return F.when(F.col(pieces).isNotNull(), taken).otherwise(F.array().cast(_SPAN))
 
 
 def _digits(match: Column) -> Column:
@@ -126,13 +195,11 @@ def _gazetteer(kind: str, match: Column) -> Column:
     return F.when(F.startswith(match, F.lit("+")), _vote(_digits(match).rlike(CALLING_CODES), ~_digits(match).rlike(CALLING_CODES))).otherwise(0)
 
 
-def _candidate(text: Column, kind: str, strict: bool, span: Column) -> Column:
+def _candidate(kind: str, strict: bool, span: Column) -> Column:
     start, end, match = span["start"], span["end"], span["match"]
     base = _rule(kind, match) if strict else F.lit(False)
-    before = F.lower(F.substr(text, F.greatest(start - BEFORE, F.lit(0)) + 1, F.least(start, F.lit(BEFORE))))
-    beside = F.concat(
-        F.when(start > 0, F.substr(text, start, F.lit(1))).otherwise(" "), F.lit("|"), F.substr(text, end + 1, F.lit(1))
-    )
+    before = F.lower(span["before"])
+    beside = F.concat(F.when(start > 0, F.substring(span["before"], -1, 1)).otherwise(" "), F.lit("|"), span["after"])
     clings = beside.rlike(r"^[\p{L}0-9_\"'=/]|[\p{L}0-9_\"'=/]$")
     return F.struct(
         F.lit(kind).alias("kind"),
@@ -156,22 +223,24 @@ def candidates(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame
     phone_length = lambda m: F.length(_digits(m)).between(9, 15)
     every = lambda m: F.lit(True)
     sources = [
-        ("email", True, _matches(text, EMAIL, every, F.contains(text, F.lit("@")))),
-        ("ip", True, _matches(text, IP, every, any_digit)),
-        ("card", True, _matches(text, CARD, long_number, any_digit)),
-        ("phone", True, _matches(text, PHONE, phone_length, F.contains(text, F.lit("+")))),
-        ("email", False, _matches(text, EMAIL_SPELLED, every, text.rlike(r"(?i)[(\[]at[)\]]"))),
-        ("phone", False, _matches(text, PHONE_LOCAL, every, any_digit)),
+        ("email", True, EMAIL, every, F.contains(text, F.lit("@"))),
+        ("ip", True, IP, every, any_digit),
+        ("card", True, CARD, long_number, any_digit),
+        ("phone", True, PHONE, phone_length, F.contains(text, F.lit("+"))),
+        ("email", False, EMAIL_SPELLED, every, text.rlike(r"(?i)[(\[]at[)\]]")),
+        ("phone", False, PHONE_LOCAL, every, any_digit),
     ]
     rows = docs.select(*carry, F.coalesce("text", F.lit("")).alias("_text"))
-    for n, (_, _, spans) in enumerate(sources):
-        rows = rows.withColumn(f"_s{n}", spans)
+    rows = rows.select(*carry, *[_pieces(text, s[2], s[4]).alias(f"_p{n}") for n, s in enumerate(sources)])
+    # each step is used more than once in the next, so these stay projections of their own
+    rows = rows.withColumns({f"_b{n}": _blocks(f"_p{n}") for n in range(len(sources))})
+    rows = rows.withColumns({f"_l{n}": _block_lengths(f"_b{n}") for n in range(len(sources))})
 
-    def judged(kind: str, strict: bool):
-        return lambda span: _candidate(text, kind, strict, span)
+    def voted(n: int) -> Column:
+        kind, strict, _, wanted, _ = sources[n]
+        return F.transform(_spans(f"_p{n}", f"_b{n}", f"_l{n}", wanted), lambda span: _candidate(kind, strict, span))
 
-    voted = [F.transform(f"_s{n}", judged(kind, strict)) for n, (kind, strict, _) in enumerate(sources)]
-    return rows.select(*carry, F.concat(*voted).alias("found"))
+    return rows.select(*carry, F.concat(*[voted(n) for n in range(len(sources))]).alias("found"))
 
 
 class Cell(NamedTuple):
@@ -258,8 +327,33 @@ def vote_cells(found: DataFrame) -> list[Cell]:
     return [Cell(r["kind"], tuple(r[v] for v in VOTERS), r["digits"], r["count"]) for r in counted.orderBy(*keys).collect()]
 
 
-def _overlap(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+_PLACES = "array<struct<start: int, rank: int, kind: string, end: int, base: boolean>>"
+
+
+def _clear_of_base(df: DataFrame, spans: str, into: str) -> DataFrame:
+    """Add ``into``: the added ones of ``spans``, sorted by place, that overlap no base one."""
+    none = F.lit(2**31 - 1)
+    df = df.withColumns(
+        {
+            "_ends": F.transform(spans, lambda c: F.when(c["base"], c["end"]).otherwise(-1)),
+            "_starts": F.transform(F.reverse(spans), lambda c: F.when(c["base"], c["start"]).otherwise(none)),
+        }
+    )
+    df = with_running(df, "_ends", "_end", lambda a, b: F.greatest(a, b), F.lit(-1))
+    df = with_running(df, "_starts", "_start", lambda a, b: F.least(a, b), none)
+    around = F.zip_with("_end", F.reverse("_start"), lambda end, start: F.struct(end.alias("end"), start.alias("start")))
+    told = F.zip_with(
+        spans, around, lambda c, a: F.when(~c["base"] & (a["end"] <= c["start"]) & (a["start"] >= c["end"]), c)
+    )
+    return df.withColumn(into, F.filter(told, lambda c: c.isNotNull())).drop("_ends", "_starts", "_end", "_start")
+
+
+def _clear_of_earlier(df: DataFrame, spans: str, into: str) -> DataFrame:
+    """Add ``into``: those of ``spans``, sorted by place, that overlap none before them."""
+    df = df.withColumn("_ends", F.transform(spans, lambda c: c["end"]))
+    df = with_running(df, "_ends", "_end", lambda a, b: F.greatest(a, b), F.lit(-1))
+    told = F.zip_with(spans, "_end", lambda c, end: F.when(end <= c["start"], c))
+    return df.withColumn(into, F.filter(told, lambda c: c.isNotNull())).drop("_ends", "_end")
 
 
 def find_pii(docs: DataFrame, carry: Sequence[str] = ("doc_id",), add_at: float = ADD_AT) -> DataFrame:
@@ -270,25 +364,22 @@ def find_pii(docs: DataFrame, carry: Sequence[str] = ("doc_id",), add_at: float
     at a probability of ``add_at``. An added span gives way to a base one it overlaps, and
     to an added one that starts before it. A null or empty text has no spans. Repeated rows
     count in the fit each time. Other columns are ignored, clashing names too as long as
-    they are not carried. An empty table gives an empty result.
+    they are not carried. An empty table gives an empty result. Texts of any length are
+    searched whole, in time that grows with the text and its matches.
     """
     found = written(candidates(docs, carry), "candidates")
     cells = vote_cells(found)
     weights = train(cells, posteriors(cells)[0])
-    place = lambda c: F.struct(c["start"].alias("start"), c["rank"].alias("rank"), c["kind"].alias("kind"), c["end"].alias("end"))
-    base = F.filter("found", lambda c: c["base"])
-    likely = F.filter("found", lambda c: ~c["base"] & (_score(weights, c) >= add_at))
-    first = lambda a, b: (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["rank"] < b["rank"]))
-    return (
-        found.withColumn("_base", base)
-        .withColumn("_free", likely)
-        .withColumn("_free", F.filter("_free", lambda c: ~F.exists("_base", lambda b: _overlap(b, c))))
-        .withColumn("_free", F.filter("_free", lambda c: ~F.exists("_free", lambda o: first(o, c) & _overlap(o, c))))
-        .select(
-            *carry,
-            F.array_sort(F.transform("_base", place)).alias("base"),
-            F.array_sort(F.transform(F.concat("_base", "_free"), place)).alias("spans"),
-        )
+    place = lambda c: F.struct(*[c[name].alias(name) for name in ("start", "rank", "kind", "end", "base")])
+    shown = lambda c: F.struct(*[c[name].alias(name) for name in ("start", "rank", "kind", "end")])
+    stays = F.filter("found", lambda c: c["base"] | (_score(weights, c) >= add_at))
+    own = [F.col(c).alias(f"_c{n}") for n, c in enumerate(carry)]
+    placed = found.select(*own, F.array_sort(F.transform(stays, place)).cast(_PLACES).alias("_stays"))
+    placed = _clear_of_earlier(_clear_of_base(placed, "_stays", "_free"), "_free", "_added")
+    return placed.withColumn("_base", F.filter("_stays", lambda c: c["base"])).select(
+        *[F.col(f"_c{n}").alias(c) for n, c in enumerate(carry)],
+        F.transform("_base", shown).alias("base"),
+        F.transform(F.array_sort(F.concat("_base", "_added")), shown).alias("spans"),
     )
 
 

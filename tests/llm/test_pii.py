@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 import pytest
@@ -111,3 +112,49 @@ def test_em_finds_who_is_right():
     score = lambda c: sum(w * x for w, x in zip(weights, pii._shape(c.kind, c.votes, c.digits)))
     assert all((score(c) > 0) == (c.votes[0] > 0) for c in cells)
     assert pii.posteriors([])[0] == [] and set(pii.train([], [])) == {0.0}
+
+
+def brute_added(found, weights, add_at=pii.ADD_AT):
+    """What the classifier adds to the base spans among ``found``, pair by pair."""
+    score = lambda c: 1 / (1 + math.exp(-sum(w * x for w, x in zip(weights, pii._shape(c.kind, [c[v] for v in pii.VOTERS], c.digits)))))
+    meet = lambda a, b: a.start < b.end and b.start < a.end
+    base = [c for c in found if c.base]
+    free = [c for c in found if not c.base and score(c) >= add_at and not any(meet(b, c) for b in base)]
+    return [c for c in free if not any((o.start, o.rank) < (c.start, c.rank) and meet(o, c) for o in free)]
+
+
+def test_added_spans_equal_brute_force(spark, monkeypatch):
+    """With blocks of four, texts of a few numbers cross several blocks."""
+    monkeypatch.setattr(pii, "BLOCK", 4)
+    busy = "jo(at)site(dot)org 415-555-2671 +1 415-555-2671 999.1.1.1 4242424242424241 a@b.co(at)c.de 1.2.3.4 "
+    given = [*enumerate(ODD), (50, busy * 7), (51, busy), (52, "é" + busy * 3 + "(415) 555-2671")]
+    docs = documents(spark, given)
+    found = {r.doc_id: r.found for r in pii.candidates(docs).collect()}
+    cells = pii.vote_cells(pii.candidates(docs))
+    weights = pii.train(cells, pii.posteriors(cells)[0])
+    for at in (0.05, 0.5, 0.9):
+        for r in pii.find_pii(docs, add_at=at).collect():
+            added = brute_added(found[r.doc_id], weights, at)
+            want = [(c.start, c.rank, c.kind, c.end) for c in [*[c for c in found[r.doc_id] if c.base], *added]]
+            assert [tuple(s) for s in r.spans] == sorted(want), r.doc_id
+    check(spark, given)
+
+
+def test_words_before_a_span_come_from_the_text(spark, monkeypatch):
+    """Votes of the places beside a span are those read off the text itself."""
+    monkeypatch.setattr(pii, "BLOCK", 4)
+    given = [(n, "".join(p + ("call" if n % 2 else "é,") for p in ("+1 415-555-2671", " a@b.co", "=1.2.3.4")) * 5) for n in range(4)]
+    texts = dict(given)
+    for r in pii.candidates(documents(spark, given)).collect():
+        for c in r.found:
+            before = texts[r.doc_id][max(0, c.start - pii.BEFORE) : c.start].lower()
+            against, for_ = re.search(pii.COUNTER_CUES, before), re.search(pii.CUES[c.kind], before)
+            assert c.before == (-1 if against else 1 if for_ else 0), (c, before)
+            beside = texts[r.doc_id][max(0, c.start - 1) : c.start], texts[r.doc_id][c.end : c.end + 1]
+            assert c.edge == (-1 if any(re.fullmatch(r"[^\W]|[\"'=/]", x) for x in beside) else 1), (c, beside)
+
+
+def test_time_follows_the_number_of_matches(spark):
+    """A text of 40,000 numbers; going through them pair by pair would take hours."""
+    text = " ".join(f"call +1 (415) 555-{n % 10000:04d} now" for n in range(40_000))
+    assert pii.pii_digest(documents(spark, [(1, text)])).first().n_phone == 40_000
