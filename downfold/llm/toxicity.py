@@ -34,14 +34,12 @@ LOOKALIKES = str.maketrans("013457@$!|€", "oieastasiie")
 
 #: Labelled rows that are learned from, at most; a larger table of labels gives its first ones by hash.
 LEARN_ROWS = 30_000
-#: Entries the labels may add to the lexicon, and the lengths of word beginnings tried.
-LEARNED_ENTRIES = 5_000
+#: Lengths of word beginnings tried.
 BEGINNINGS = (4, 5, 6, 7, 8)
-#: z of the lower bound on the share of toxic documents among those with an entry.
+#: z of the lower bound on the share of toxic documents among those with an entry. An entry that
+#: only toxic documents have needs seven of them.
 CONFIDENCE = 2.5
 LEAST_SHARE = 0.5
-#: Share of the toxic documents that an entry must be found in; rarer ones are chance finds.
-LEAST_SUPPORT = 0.015
 #: Documents with a named word from which its share is believed.
 HARMLESS_ROWS = 5
 #: Words around an insult among which a second person counts as near.
@@ -198,9 +196,14 @@ def _entry_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def learned_lexicon(rows: DataFrame, base: Sequence[str] = INSULTS) -> Lexicon:
-    """``base`` without the words that are mostly harmless in ``rows``, and the entries that mark toxic documents with confidence."""
+    """``base`` without the words that are mostly harmless in ``rows``, and all entries that mark toxic documents with confidence.
+
+    A text counts once however often it is repeated: copies of one toxic text say no more
+    about its words than the text does.
+    """
     counted = written(
-        rows.select("text", "toxic")
+        rows.groupBy("text")
+        .agg(F.max("toxic").alias("toxic"))
         .mapInArrow(_entry_counter, "entry string, bad long, good long")
         .groupBy("entry")
         .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")),
@@ -209,9 +212,8 @@ def learned_lexicon(rows: DataFrame, base: Sequence[str] = INSULTS) -> Lexicon:
     n, z = F.col("bad") + F.col("good"), CONFIDENCE
     share = F.col("bad") / n
     low = (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    least = LEAST_SUPPORT * rows.filter(F.col("toxic") == 1).count()
-    top = counted.filter((low >= LEAST_SHARE) & (F.col("bad") >= least)).orderBy(F.col("bad").desc(), "entry").limit(LEARNED_ENTRIES)
-    found = [r["entry"] for r in top.select("entry").collect()]
+    # bounded by the labelled rows: each entry is in seven of their texts
+    found = [r["entry"] for r in counted.filter(low >= LEAST_SHARE).orderBy("entry").select("entry").collect()]
     harmless = counted.filter(F.col("entry").isin([w + "$" for w in base]) & (n >= HARMLESS_ROWS) & (share < LEAST_SHARE))
     mild = {r["entry"][:-1] for r in harmless.select("entry").collect()}
     return Lexicon([w for w in base if w not in mild], [e[:-1] for e in found if e.endswith("$")], [e for e in found if not e.endswith("$")])
@@ -269,12 +271,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS, reject_
     A null or empty text has features of zero and a score like others. Repeated rows are
     scored alike. Columns beside doc_id and text, and doc_id and toxic of the labels, are
     ignored. Empty ``docs`` give an empty result; without labels of both classes the score
-    is 1 - exp(-insults found).
+    is 1 - exp(-insults found). A text of any length is read whole, in one pass over its words.
     """
     return scored(docs, fit(docs, labels, rows), reject_at)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, rows: int = LEARN_ROWS, reject_at: float = REJECT_AT) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are not predicted toxic."""
+    """The rows of ``docs``, with all their columns, that are not predicted toxic.
+
+    Null, empty and very long texts and repeated rows are judged as in ``toxicity``; of
+    repeated rows all stay or none. Extra columns keep their names and values, also names
+    that the score has.
+    """
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", "text")
     return scored(whole, fit(docs, labels, rows), reject_at, ("whole",)).filter(F.col("predicted") == 0).select("whole.*")

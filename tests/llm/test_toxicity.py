@@ -1,4 +1,7 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,3 +66,52 @@ def test_edges(spark):
     assert max(r.score for r in got) == pytest.approx(0.632, abs=1e-3)
     assert toxicity.toxicity(documents(spark, []), labels).collect() == []
     assert len(toxicity.toxicity(documents(spark, given), labels.limit(0)).collect()) == 5
+
+
+def brute_entries(given):
+    """Entries by the lower bound on the toxic share, from distinct (text, toxic)."""
+    bad, every = Counter(), Counter()
+    for text, toxic in set(given):
+        words = set(re.findall(r"[^\W_]+", (text or "").lower()))
+        for entry in {w + "$" for w in words if len(w) > 2} | {w[:n] for w in words for n in range(4, 9) if len(w) > n}:
+            every[entry] += 1
+            bad[entry] += toxic
+    z, found = 2.5, set()
+    for entry, n in every.items():
+        share = bad[entry] / n
+        low = (share + z * z / (2 * n) - z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        if low >= 0.5:
+            found.add(entry)
+    return found
+
+
+def test_learned_entries_equal_brute_force(spark):
+    """All entries that pass the bound, also those of few among many toxic texts; copies of a text count once."""
+    given = [(f"zorblatt line{n} again", 1) for n in range(7)] + [(f"sixfold row{n}x", 1) for n in range(6)]
+    given += [("copyword only here", 1)] * 40 + [(f"plain words number{n}", n % 2) for n in range(900)] + [("", 0), (None, 0)]
+    known = spark.createDataFrame(given, "text string, toxic int")
+    lexicon = toxicity.learned_lexicon(known)
+    found = {w + "$" for w in lexicon.words} | lexicon.beginnings
+    assert found == brute_entries(given)
+    assert "zorblatt$" in found and "sixfold$" not in found and "copyword$" not in found
+    real = toxicity.learning_rows(table(spark, "0.01", "documents"), table(spark, "0.01", "labels")).select("text", "toxic")
+    lexicon = toxicity.learned_lexicon(real)
+    assert {w + "$" for w in lexicon.words} | lexicon.beginnings == brute_entries([tuple(r) for r in real.collect()])
+
+
+def test_accepted_keeps_rows_as_they_are(spark):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    given = [(1, "you idiot moron"), (1, "you idiot moron"), (2, None), (2, None), (3, ""), (None, "fine words")]
+    docs = documents(spark, given, extra=True)
+    kept = toxicity.accepted(docs, labels)
+    assert kept.columns == docs.columns
+    want = [tuple(r) for r in docs.collect() if r.doc_id != 1]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(want, key=repr)
+    assert toxicity.accepted(docs.limit(0), labels).collect() == []
+
+
+def test_very_long_text_is_read_to_its_end(spark):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    text = "fine words " * 200_000
+    got = toxicity.toxicity(documents(spark, [(1, text), (2, text + "you idiot moron")]), labels).collect()
+    assert sorted((r.doc_id, r.predicted) for r in got) == [(1, 0), (2, 1)]
