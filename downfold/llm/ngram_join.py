@@ -36,6 +36,8 @@ RANGES = 128
 SLICE_CLASSES = 8_192
 #: Bits of a shingle's hash that are kept besides its bucket.
 REST_BITS = 40
+#: Places of the bitmap of texts that do not simply stay: 2 MB at most, whatever the table.
+MARK_PLACES = 1 << 24
 #: Words remembered with their hash by a task.
 WORDS_KEPT = 500_000
 
@@ -211,8 +213,15 @@ def shared_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     return written(back.groupBy("chunk").applyInArrow(_gather(percent), SETS), "sets")
 
 
-def prefix_rows(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rarest shingles of each class, which no pair above the threshold can avoid sharing, with what filters need."""
+def _alone() -> Column:
+    """Shingles of a class that no other text has."""
+    return (F.col("n") - F.size("tokens")).alias("alone")
+
+
+def prefix_rows(classes: DataFrame, percent: int = PERCENT, ranges: bool = True) -> DataFrame:
+    """The rarest shingles of each class, which no pair above the threshold can avoid sharing, with what filters
+    need; without ``ranges`` the suffix filter is left to be made on the candidates."""
+    also = ["ranges"] if ranges else []
     held = classes.select("cid", "n", F.explode("tokens").alias("token"))
     df = held.groupBy("token").agg(F.count("*").alias("df")).filter(F.col("df") > 1)
     own = Window.partitionBy("cid")
@@ -224,22 +233,34 @@ def prefix_rows(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
         .withColumn("pos", F.col("n") - F.col("kept") + F.row_number().over(own.orderBy("df", "token")) - 1)
         .filter(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
         .select("token", "cid", "pos", "df")
-        .join(classes.select("cid", "n", (F.col("n") - F.size("tokens")).alias("alone"), "ranges"), "cid")
+        .join(classes.select("cid", "n", _alone(), *also), "cid")
     )
     return written(placed, "prefixes")
 
 
-def _may_link(percent: int) -> Column:
-    """Length, positional and suffix filters on the rows ``a`` and ``b`` of one shared shingle."""
-    wanted = F.expr(f"(({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent})")
+def _wanted(percent: int) -> Column:
+    """Shingles that ``a`` and ``b`` have in common if they are linked, at least."""
+    return F.expr(f"(({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent})")
+
+
+def _in_place(percent: int) -> Column:
+    """Length and positional filters on the rows ``a`` and ``b`` of one shared shingle."""
+    return (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent) & (
+        F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= _wanted(percent)
+    )
+
+
+def _alike(percent: int) -> Column:
+    """Suffix filter on the rows ``a`` and ``b`` of two classes."""
     apart = F.aggregate(
         F.zip_with("a.ranges", "b.ranges", lambda x, y: F.abs(x - y).cast("int")), F.lit(0), lambda total, x: total + x
     )
-    return (
-        (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
-        & (F.least(F.col("a.n") - F.col("a.pos"), F.col("b.n") - F.col("b.pos")) >= wanted)
-        & (F.col("a.alone") + F.col("b.alone") + apart <= F.col("a.n") + F.col("b.n") - 2 * wanted)
-    )
+    return F.col("a.alone") + F.col("b.alone") + apart <= F.col("a.n") + F.col("b.n") - 2 * _wanted(percent)
+
+
+def _may_link(percent: int) -> Column:
+    """All filters on the rows ``a`` and ``b`` of one shared shingle."""
+    return _in_place(percent) & _alike(percent)
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -265,7 +286,7 @@ def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _near_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+def _near_pairs(prefixes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Few candidates that join most of a group: each class with the one before it, and with the
     one that has the smallest share of shingles of its own, among the classes of a shingle.
 
@@ -273,12 +294,15 @@ def _near_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
     """
     slices = F.ceil(F.col("df") / SLICE_CLASSES)
     along = Window.partitionBy("token", "slice").orderBy(F.col("alone") / F.col("n"), "cid")
-    row = F.struct("cid", "n", "pos", "alone", "ranges")
+    row = F.struct("cid", "n", "pos")
     seen = prefixes.withColumn("slice", F.pmod(F.xxhash64("cid", "token"), slices)).select(
         row.alias("a"), F.array(F.first(row).over(along), F.lag(row).over(along)).alias("partners")
     )
-    found = seen.select("a", F.explode("partners").alias("b")).filter((F.col("a.cid") != F.col("b.cid")) & _may_link(percent))
-    return found.select(*_ordered(F.col("a.cid"), F.col("b.cid"))).distinct()
+    found = seen.select("a", F.explode("partners").alias("b")).filter((F.col("a.cid") != F.col("b.cid")) & _in_place(percent))
+    pairs = found.select(F.least("a.cid", "b.cid").alias("x"), F.greatest("a.cid", "b.cid").alias("y")).distinct()
+    held = classes.select("cid", "n", _alone(), "ranges")
+    both = pairs.join(held.alias("a"), F.col("a.cid") == F.col("x")).join(held.alias("b"), F.col("b.cid") == F.col("y"))
+    return both.filter(_alike(percent)).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 def class_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -286,21 +310,25 @@ def class_components(classes: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     A first round verifies few candidates for each class and contracts what they link. The
     prefix join that follows is exact but takes only classes of different components, and
-    only shingles that classes of different components still share.
+    only shingles that classes of different components still share. Rows of shingles go
+    without ranges until few are left.
     """
-    prefixes = prefix_rows(classes, percent)
-    first = components(written(_verified(_near_pairs(prefixes, percent), classes, percent), "first-links"))
+    prefixes = prefix_rows(classes, percent, ranges=False)
+    first = components(written(_verified(_near_pairs(prefixes, classes, percent), classes, percent), "first-links"))
     marked = prefixes.join(first.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
         "component", F.coalesce("component", "cid")
     )
     marked = written(marked, "marked")
     shared = marked.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    still = written(marked.join(shared.filter("low < high").select("token"), "token", "left_semi"), "open")
+    still = marked.join(shared.filter("low < high").select("token"), "token", "left_semi")
+    still = written(still.join(classes.select("cid", "ranges"), "cid"), "open")
     a, b = still.alias("a"), still.alias("b")
     apart = a.join(
         b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") < F.col("b.component")) & _may_link(percent)
     )
-    more = _verified(apart.select(*_ordered(F.col("a.cid"), F.col("b.cid"))).distinct(), classes, percent)
+    # few are left, so their table is known to be small before any set is moved
+    pairs = written(apart.select(*_ordered(F.col("a.cid"), F.col("b.cid"))).distinct(), "pairs")
+    more = _verified(pairs, classes, percent)
     stars = first.select(*_ordered(F.col("node"), F.col("component")))
     return components(written(stars.unionByName(more), "all-links"))
 
@@ -393,6 +421,22 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     )
 
 
+def _place(half: str) -> Column:
+    return F.pmod(F.col(half), F.lit(MARK_PLACES)) + 1
+
+
+def _maybe_told(whole: DataFrame, told: DataFrame) -> DataFrame:
+    """``whole`` with ``asked``: whether the place of its text is marked by one in ``told``, from a bitmap of bounded size."""
+    marks = told.groupBy(F.bitmap_bucket_number(_place("g1")).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(_place("g1"))).alias("bitmap")
+    )
+    at = F.bitmap_bit_position(_place("t1"))
+    byte = F.conv(F.hex(F.substring("bitmap", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = whole.withColumn("bucket", F.bitmap_bucket_number(_place("t1"))).join(F.broadcast(marks), "bucket", "left")
+    asked = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return found.withColumn("asked", asked).drop("bucket", "bitmap")
+
+
 def one_per_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, that head their group: smallest doc_id, null last.
 
@@ -402,8 +446,13 @@ def one_per_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
     shingles, eight bytes each. Extra columns keep their names and values.
     """
     texts = text_components(docs, size, percent)
-    grouped = docs.select("doc_id", *md5_halves(F.col("text"))).join(texts, ["t1", "t2"])
-    grouped = written(grouped.groupBy("t1", "t2", "doc_id", "component").agg(F.count("*").alias("rows")), "grouped")
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
+    names = [F.col("doc_id"), *md5_halves(F.col("text")), F.xxhash64(others).alias("order")]
+    grouped = docs.select(*names).groupBy("t1", "t2", "doc_id", "order").agg(F.count("*").alias("alike"))
+    grouped = grouped.groupBy("t1", "t2", "doc_id").agg(
+        F.sum("alike").alias("rows"), F.min(F.struct("order", "alike")).alias("least")
+    )
+    grouped = written(grouped.join(texts, ["t1", "t2"]), "grouped")
     name = F.struct(F.col("doc_id").isNull(), "doc_id", "t1", "t2")
     heads = grouped.groupBy("component").agg(F.min(name).alias("head"))
     # most rows are alone in their group and stay; only the others are looked for among the texts
@@ -411,14 +460,21 @@ def one_per_group(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
         F.col("doc_id").alias("g0"),
         F.col("t1").alias("g1"),
         F.col("t2").alias("g2"),
-        F.when(name != F.col("head"), "gone").when(F.col("rows") > 1, "repeated").alias("fate"),
+        F.when(name != F.col("head"), "gone").when(F.col("least.alike") > 1, "alike").when(F.col("rows") > 1, "repeated").alias("fate"),
+        F.col("least.order").alias("least"),
     )
     told = written(told.filter(F.col("fate").isNotNull()), "told")
-    t1, t2 = md5_halves(F.col("text"))
-    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
     packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    whole = docs.select(packed.alias("whole"), "doc_id", t1, t2, F.xxhash64(others).alias("order"))
+    whole = _maybe_told(docs.select(packed.alias("whole"), *names), told)
+    asked = whole.filter("asked")
     same = (F.col("t1") == F.col("g1")) & (F.col("t2") == F.col("g2")) & F.col("doc_id").eqNullSafe(F.col("g0"))
-    alone = whole.join(told, same, "left_anti").select("whole")
-    repeated = whole.join(told.filter("fate = 'repeated'"), same, "left_semi").groupBy("t1", "t2", "doc_id")
-    return alone.unionByName(repeated.agg(F.min_by("whole", "order").alias("whole")).select("whole")).select("whole.*")
+    other = F.col("order") != F.col("least")
+    # only texts whose place is marked are moved; the others stay where they are
+    kept = asked.join(told, same & ((F.col("fate") != "repeated") | other), "left_anti").select("whole")
+    kept = whole.filter("NOT asked").select("whole").unionByName(kept)
+    alike = told.filter("fate = 'alike'")
+    if alike.isEmpty():
+        return kept.select("whole.*")
+    # rows with the same hash of all columns: only here are whole rows grouped
+    one = asked.join(alike, same & ~other, "left_semi").groupBy("t1", "t2", "doc_id").agg(F.first("whole").alias("whole"))
+    return kept.unionByName(one.select("whole")).select("whole.*")

@@ -121,3 +121,14 @@ def test_nothing_to_group(spark):
     nothing = documents(spark, [], extra=True)
     kept = ngram_join.one_per_group(nothing)
     assert kept.columns == nothing.columns and rows(kept) == []
+
+
+@pytest.mark.parametrize("places", [1, 7, 1 << 24])
+def test_only_marked_texts_are_moved(spark, monkeypatch, places):
+    monkeypatch.setattr(ngram_join, "MARK_PLACES", places)
+    told = spark.createDataFrame([(5, 0, 0, "gone"), (-9, 0, 0, "gone")], "g1 long, t2 long, g0 long, fate string")
+    whole = spark.createDataFrame([(t,) for t in range(-40, 40)], "t1 long")
+    asked = {r.t1 for r in ngram_join._maybe_told(whole, told).filter("asked").collect()}
+    assert asked == {t for t in range(-40, 40) if t % places in (5 % places, -9 % places)}
+    nothing = ngram_join._maybe_told(whole, told.limit(0))
+    assert nothing.filter("asked").count() == 0 and nothing.count() == 80
