@@ -172,15 +172,18 @@ def _writer(path: str, end_id: int, shard_tokens: int):
             return pa.RecordBatch.from_arrays(arrays, names=["part", "seq", "n_tokens", "file"])
 
         for batch in batches:
-            for name, text in zip(batch.column(0), batch.column(1)):
-                ids = encode.ids(text.as_py()).astype(kind, copy=False)
-                pieces += [ids, end]
-                held += len(ids) + 1
-                names.append(name.as_py())
-                ends.append(held)
-                if held >= shard_tokens:
-                    yield shard()
-                    pieces, names, ends, held, seq = [], [], [], 0, seq + 1
+            own = iter(batch.column(0).to_pylist())
+            for ids, stops in encode.column(batch.column(1)):
+                ids, at = ids.astype(kind, copy=False), 0
+                for stop in stops.tolist():
+                    pieces += [ids[at:stop], end]
+                    held += stop - at + 1
+                    at = stop
+                    names.append(next(own))
+                    ends.append(held)
+                    if held >= shard_tokens:
+                        yield shard()
+                        pieces, names, ends, held, seq = [], [], [], 0, seq + 1
         if names:
             yield shard()
 

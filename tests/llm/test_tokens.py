@@ -1,13 +1,15 @@
+import random
 import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from downfold.llm import token_counts, wavelet
+from downfold.llm import encoding, token_counts, wavelet
 from downfold.llm.encoding import Encoder
 from llm.texts import documents, rows, table
 
@@ -123,3 +125,29 @@ def test_lengths_equal_brute_force(spark, plain):
 
 def test_lengths_of_nothing(spark):
     assert rows(token_counts.token_lengths(documents(spark, []), PATH)) == []
+
+
+BLANKS = [
+    "é à  ç\né", "x\n\ny", "x\n y", "x \ny", "a.\nb, c's d'll, (e) f;g", "“a” b — c… d", "a  b", "a  b", "　 c", "日本 語\nが", "a\u0085 b\n c",
+    "x÷ y× z, ×. é. é, À!b", "🙂 🙂\n🙂", "a\x1c b", "a\x7f b", "\n", "a\n", "\na", "a᠎ b  c", "12, 3.4 a1, 1a.", "ª. µ, º!", " , a", "ô's, 's 'S's.",
+]
+
+
+def test_texts_together_equal_one_by_one(monkeypatch, plain):
+    """Cut over bytes, each piece once a batch, unknown words many in a call, and few remembered."""
+    draw = random.Random(3)
+    words = ["".join(draw.choice("abcdeéÀßz") for _ in range(draw.randint(1, 9))) for _ in range(3000)]
+    made = [draw.choice([" ", " ", " ", "\n", "  ", ", "]).join(draw.choices(words, k=200)) for _ in range(60)]
+    every = "".join(draw.choice([" ", "\n", "a", "é", ",", "'s", "1", " ", "”", "\t", "語"]) for _ in range(4000))
+    texts = [None, *ODD, *BLANKS, *made, every, None]
+    for kept, size in ((500_000, 4 << 20), (50, 300)):
+        monkeypatch.setattr(encoding, "PIECES_KEPT", kept)
+        monkeypatch.setattr(encoding, "CUT_BYTES", size)
+        encoder, got = Encoder(PATH), []
+        assert encoder.at_once
+        for ids, ends in encoder.column(pa.array(texts)):
+            got += [part.tolist() for part in np.split(ids, ends[:-1])]
+        assert got == [plain(t) for t in texts]
+    assert list(encoder.column(pa.array([], pa.string()))) == []
+    [(ids, ends)] = encoder.column(pa.array([None, ""], pa.string()))
+    assert len(ids) == 0 and ends.tolist() == [0, 0]
