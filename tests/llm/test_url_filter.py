@@ -108,6 +108,22 @@ def test_very_long_url_and_repeats(spark):
     assert got(spark, urls)[0][:3] == ("a.org", "/" + "ab" * 100_000, None)
 
 
+def test_nothing_is_broadcast(spark, monkeypatch):
+    plans = {}
+
+    def planned(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return df
+
+    write, least = url_filter.written, url_filter.least_allowed
+    monkeypatch.setattr(url_filter, "written", lambda df, name: write(planned(df, name), name))
+    monkeypatch.setattr(url_filter, "least_allowed", lambda df: least(planned(df, "examples")))
+    planned(url_filter.judge(pages(spark, ODD * 20), URL_RULES), "judged")
+    joins = {name: plan.count("SortMergeJoin") for name, plan in plans.items()}
+    assert joins == {"urls": 0, "pieces": 0, "scores": url_filter.ORDER + 1, "examples": 1, "judged": 1}
+    assert [name for name, plan in plans.items() if "Broadcast" in plan] == []
+
+
 def test_null_keys_and_rules_of_callers(spark):
     df = spark.createDataFrame([(None, "http://a.b.c/d"), (1, "http://b.c/de")], "k string, u string")
     rules = [("block", "b.c/"), ("allow", "b.c/de")]
